@@ -6,17 +6,52 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convolens.llm import bpe, exact_dedup, sharding
+from convolens.llm import bpe, exact_dedup, langid, licenses, mixing, sharding, simhash, substring, topk, toxicity
 from convolens.llm.common import table
 
-#: SQL for the words of a text.
-WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.link(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = langid.held_out(F.col("doc_id"))
+    model = langid.fit(docs.where(~held_out))
+    return langid.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lexicon = toxicity.fit(toxicity.labelled_sample(docs, table(spark, sf_dir, "labels"), hold_out=_toxic_held_out))
+    return toxicity.score(docs.select("doc_id", _toxic_held_out(F.col("doc_id")).alias("held_out"), "text"), lexicon).drop("text")
+
+
+def _toxic_held_out(doc_id):
+    return langid.held_out(doc_id, 5, 0)
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -26,13 +61,35 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op6_exact_dedup, op9_byte_bpe, op10_sharding)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_topk, op2_simhash, op3_langid, op4_toxicity, op5_mixing, op6_exact_dedup, op7_substring_dedup, op8_license_scan, op9_byte_bpe, op10_sharding)
+}
 
 ORACLE_SQL = {
+    "op1_topk": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(x::DOUBLE * 256)) AS v FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+              FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+        SELECT query_id, (row_number() OVER w)::INT AS rank, vec_id, score FROM s
+        WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5
+    """,
     "op6_exact_dedup": r"""
         WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents)
         SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
                row_number() OVER w = 1 AS kept, text_sha256
         FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
     """,
+    "op7_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        win AS (SELECT doc_id, i, sha256(array_to_string(w[i:i + 49], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+        first AS (SELECT h, min(doc_id) AS least FROM win GROUP BY h HAVING min(doc_id) < max(doc_id)),
+        gone AS (SELECT DISTINCT doc_id, i + k AS p FROM win JOIN first USING (h), (SELECT unnest(range(50)) AS k) WHERE doc_id > least),
+        word AS (SELECT doc_id, w[p] AS word, p FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d)),
+        kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+        SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)
+    """,
+    "op8_license_scan": licenses.oracle(),
 }
