@@ -95,8 +95,8 @@ RULES = (
 #: Every known sentence has one of these.
 HINTS = ("licen", "copyright", "permission", "redistribut", "warrant", "liab", "public domain", "rights reserved")
 
-#: A sentence ends after these signs before white space, and at a line feed.
-_END = r"([.!?;:])\s+"
+#: A sentence ends after these signs before white space, and at a line feed; a colon ends one only before conditions.
+_END = r"([.!?;]|(?:conditions|met):)[\x20\x09-\x0D]+"
 
 
 def normal(sentence: str) -> str:
@@ -107,7 +107,7 @@ def known() -> dict[str, str]:
     """Identifier by normalised sentence. A sentence with an inner end gives its first part (no identifier is lost)."""
     out: dict[str, str] = {}
     for name, sentence in SENTENCES.items():
-        parts = [normal(x) for x in re.sub(_END, r"\1\n", sentence).split("\n")]
+        parts = [normal(x) for x in re.sub(_END, r"\1\n", sentence.lower()).split("\n")]
         whole = max(parts, key=len)
         assert any(x in whole for x in HINTS), name
         assert whole not in out, name
@@ -144,7 +144,7 @@ def oracle() -> str:
     rules = ", ".join(f"({i}, '{licence}', '|{'|'.join(ids)}|')" for i, (licence, ids) in enumerate(RULES))
     return rf"""
         WITH known(sentence, name) AS (VALUES {table}), rules(no, licence, ids) AS (VALUES {rules}),
-        cut AS (SELECT row_number() OVER () AS r, doc_id, string_split(regexp_replace(lower(coalesce(text, '')), '([.!?;:])\s+', '\1' || chr(10), 'g'), chr(10)) AS lines FROM documents),
+        cut AS (SELECT row_number() OVER () AS r, doc_id, string_split(regexp_replace(lower(coalesce(text, '')), '{_END}', '\1' || chr(10), 'g'), chr(10)) AS lines FROM documents),
         line AS (SELECT r, unnest(lines) AS x, generate_subscripts(lines, 1) AS i FROM cut),
         ids AS (SELECT r, count(*) AS n, string_agg(name, '|' ORDER BY i) AS ids FROM line JOIN known ON sentence = trim(regexp_replace(x, '[^a-z0-9]+', ' ', 'g')) GROUP BY r),
         hit AS (SELECT r, licence, min(no) AS no FROM ids JOIN rules ON contains('|' || ids.ids || '|', rules.ids) GROUP BY r, licence),

@@ -68,8 +68,8 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_topk": """
-        WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(x::DOUBLE * 256)) AS v FROM embeddings
-                   WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS v FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
               FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
         SELECT query_id, (row_number() OVER w)::INT AS rank, vec_id, score FROM s

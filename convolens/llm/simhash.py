@@ -49,7 +49,7 @@ def fingerprint(text: str | None, n: int = 3) -> int:
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 65_536):
         part = hashes[at : at + 65_536]
-        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0)
+        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
