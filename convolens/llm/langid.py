@@ -114,6 +114,8 @@ class Model:
     def label(self, texts: list[str]) -> tuple[np.ndarray, Words]:
         """The language number of each word by a Viterbi pass over each text, and the words."""
         w = words_of(texts)
+        if not self.langs:
+            return np.zeros(len(w.first), np.int8), w
         scores = self.scores(w)
         n = np.bincount(w.text, minlength=len(texts))
         start = np.cumsum(n) - n
