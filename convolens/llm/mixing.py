@@ -6,7 +6,8 @@ quota needs it. The flow of a pattern is then turned into copies of whole docume
 whole number of copies, and seeded documents get one more until the rest of the flow is met.
 
 The driver sees one row per pattern, never documents. Documents are drawn by cumulated sizes of hash buckets, so a
-pattern with most of the rows is spread over many tasks; only its last, partly taken bucket is walked row by row.
+pattern with most of the rows is spread over many tasks; only its last, partly taken bucket is walked row by row. A
+pattern of n rows has about sqrt(n) buckets, so both the list of buckets and a bucket grow as sqrt(n).
 
 Null texts have no words. A null source is a source of its own, last in order. Repeated rows count each. Empty tables
 give empty results. Extra columns are ignored.
@@ -15,6 +16,7 @@ give empty results. Extra columns are ignored.
 from __future__ import annotations
 
 import json
+import math
 from collections import defaultdict, deque
 
 import pandas as pd
@@ -23,8 +25,8 @@ from pyspark.sql import functions as F
 
 from convolens.llm.common import materialise, text_of
 
-#: Rows of a pattern in one hash bucket, about.
-BUCKET_ROWS = 10_000
+#: Plans for up to this many patterns (short rows) are broadcast.
+FEW_PATTERNS = 20_000
 
 
 def word_count(column: str = "text") -> Column:
@@ -165,19 +167,27 @@ def mix(docs: DataFrame, quota: dict | None = None, most: int = 2, seed: str = "
         words = sum(flow[sets[p]].values())
         whole, rest = divmod(words, r["size"]) if r["size"] else (0, 0)
         first = sets[p][0] if sets[p] else None
-        plan.append((p, int(whole), int(rest), max(1, r["n"] // BUCKET_ROWS), size.get(first, 0), float(quota.get(first, 0))))
+        plan.append((p, int(whole), int(rest), math.isqrt(r["n"]) + 1, size.get(first, 0), float(quota.get(first, 0))))
     plans = spark.createDataFrame(plan, "pattern string, whole bigint, rest bigint, buckets bigint, source_size bigint, target double")
+    few = F.broadcast if len(plan) <= FEW_PATTERNS else lambda df: df
     bucket = F.floor(F.conv(F.substring("draw", 1, 8), 16, 10).cast("long") * F.col("buckets") / (1 << 32))
-    rows = skinny.join(plans, "pattern").withColumn("bucket", bucket)
+    rows = skinny.join(few(plans), "pattern").withColumn("bucket", bucket)
     upto = F.sum("words").over(Window.partitionBy("pattern").orderBy("bucket"))
     sums = rows.groupBy("pattern", "bucket").agg(F.sum("size").alias("words"), F.first("rest").alias("r"))
-    sums = sums.select("pattern", "bucket", "words", (upto - F.col("words")).alias("before"), "r")
-    split = sums.where("before < r and before + words > r").select("pattern", "bucket", "before")
-    walked = rows.join(split, ["pattern", "bucket"]).select("pattern", "row", "doc_id", "size", "draw", "rest", "before")
-    walked = walked.groupBy("pattern").applyInPandas(_walk, "row bigint, extra bigint")
-    full = sums.where("before + words <= r").select("pattern", "bucket", F.lit(1).alias("all"))
-    out = rows.join(full, ["pattern", "bucket"], "left").join(walked, "row", "left")
-    copies = F.col("whole") + F.when(F.col("all").isNotNull(), 1).otherwise(F.coalesce("extra", F.lit(0)))
+    sums = sums.withColumn("before", upto - F.col("words"))
+    partly = (F.col("before") < F.col("r")) & (F.col("before") + F.col("words") > F.col("r"))
+    ends = sums.groupBy("pattern").agg(
+        F.coalesce(F.max(F.when(F.col("before") + F.col("words") <= F.col("r"), F.col("bucket"))), F.lit(-1)).alias("full_upto"),
+        F.max(F.when(partly, F.col("bucket"))).alias("split"),
+        F.max(F.when(partly, F.col("before"))).alias("before"),
+    )
+    rows = rows.join(few(materialise(ends, "mix-ends")), "pattern")
+    in_split = F.coalesce(F.col("bucket") == F.col("split"), F.lit(False))
+    split = rows.where(in_split)
+    walked = split.select("pattern", "row", "doc_id", "size", "draw", "rest", "before").groupBy("pattern").applyInPandas(_walk, "row bigint, extra bigint")
+    plain = rows.where(~in_split).withColumn("extra", (F.col("bucket") <= F.col("full_upto")).cast("bigint"))
+    out = plain.unionByName(split.join(walked, "row"))
+    copies = F.col("whole") + F.col("extra")
     return out.select("doc_id", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), "row")
 
 
