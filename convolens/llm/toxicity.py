@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convolens.llm.common import unit_hash
+from convolens.llm.common import materialise, unit_hash
 
 #: Labelled rows that are looked at to learn (about: a seeded share of them).
 FIT_ROWS = 40_000
@@ -126,13 +126,13 @@ def _features(folded: str) -> set[str]:
 
 
 def _counted(rows: DataFrame, count, schema: str) -> dict[tuple, int]:
-    """Sums over all partitions of what `count` adds to a Counter for each (text, label)."""
+    """Sums over all partitions of what `count` adds to a Counter for each (folded text, label)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: Counter = Counter()
         for batch in batches:
             for text, label in zip(batch["text"], batch["label"], strict=True):
-                count(total, fold(text), bool(label))
+                count(total, text, bool(label))
         yield pd.DataFrame([(*k, n) for k, n in total.items()], columns=[x.split()[0] for x in schema.split(", ")])
 
     names = [x.split()[0] for x in schema.split(", ")][:-1]
@@ -140,13 +140,18 @@ def _counted(rows: DataFrame, count, schema: str) -> dict[tuple, int]:
 
 
 def fit(labelled: DataFrame, exceptions: tuple[str, ...] = ()) -> Lexicon:
-    """Learns from rows with text and label (0 or 1): about FIT_ROWS of them, at most."""
+    """Learns from rows with text and label (0 or 1): about FIT_ROWS of them, at most.
 
-    def sizes(total, folded, label):
-        total["1" if label else "0",] += 1
+    The texts are folded once; what follows reads that table.
+    """
+
+    @F.pandas_udf("string")
+    def folded(texts: pd.Series) -> pd.Series:
+        return pd.Series([fold(x) for x in texts], dtype=object)
 
-    counts = {r["key"]: r["n"] for r in _counted(labelled, sizes, "key string, n long").collect()}
-    toxic, clean = counts.get("1", 0), counts.get("0", 0)
+    labelled = materialise(labelled.select(folded("text").alias("text"), "label"), "toxicity-sample")
+    counts = labelled.agg(F.count_if(F.col("label") != 0).alias("toxic"), F.count_if(F.col("label") == 0).alias("clean")).first()
+    toxic, clean = counts["toxic"], counts["clean"]
     if not toxic or not clean:
         return Lexicon(exceptions=tuple(fold(x) for x in exceptions))
 
@@ -168,10 +173,10 @@ def fit(labelled: DataFrame, exceptions: tuple[str, ...] = ()) -> Lexicon:
             terms[x] = math.log(lift)
     terms = _prune(terms, support)
 
-    def around(total, folded, label, terms=tuple(terms)):
-        if any(x in folded for x in terms):
-            words = folded.split()
-            marked = [any(f" {w} ".startswith(x) for x in terms) for w in words]
+    def around(total, folded, label, terms=frozenset(terms), sizes=tuple(sorted({len(x) for x in terms}))):
+        words = folded.split()
+        marked = [any(w[:n] in terms for n in sizes) for w in (f" {w} " for w in words)]
+        if any(marked):
             pairs = {f" {a} {b} " for a, b, i in zip(words, words[1:], range(len(words)), strict=False) if marked[i] or marked[i + 1]}
             total.update((x, "1" if label else "0") for x in pairs)
 
@@ -184,7 +189,7 @@ def fit(labelled: DataFrame, exceptions: tuple[str, ...] = ()) -> Lexicon:
     def weights(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         machine = lexicon.automaton()
         for batch in batches:
-            s = [round(weigh(fold(x), machine)[0], 3) for x in batch["text"]]
+            s = [round(weigh(x, machine)[0], 3) for x in batch["text"]]
             yield pd.DataFrame({"s": s, "label": batch["label"].astype("int32")})
 
     points = labelled.mapInPandas(weights, "s double, label int").groupBy("s").agg(F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("c")).orderBy("s").collect()
