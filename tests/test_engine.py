@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from convolens.functions import text_checks
 from convolens.operators import crosstab, profile, turns
-from convolens.plans import catalogue
+from convolens.plans import catalogue, checks_catalogue
 
+QUERIES = catalogue.QUERIES | checks_catalogue.QUERIES
+ORACLE_SQL = catalogue.ORACLE_SQL | checks_catalogue.ORACLE_SQL
 SF = "/root/testdata/sf0.001"
 
 
@@ -26,10 +28,10 @@ def plain(value):
     return float(f"{value:.9g}") if isinstance(value, float) else value
 
 
-@pytest.mark.parametrize("name", list(catalogue.QUERIES))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    found = catalogue.QUERIES[name](spark, SF)
-    cursor = duck.execute(catalogue.ORACLE_SQL[name])
+    found = QUERIES[name](spark, SF)
+    cursor = duck.execute(ORACLE_SQL[name])
     columns = [c[0] for c in cursor.description]
     assert sorted(found.columns) == sorted(columns)
     assert Counter(tuple(plain(r[c]) for c in columns) for r in found.collect()) == Counter(tuple(map(plain, r)) for r in cursor.fetchall())
