@@ -1,8 +1,12 @@
 """Licence scans by sentence rules, DataFrame functions only.
 
-A text is cut into sentences, sentences are normalised (lower case, only letters and digits, single blanks), known
-ones become their identifiers, and the text's sequence of identifiers is matched against ordered licence rules. A
-rule is a run of identifiers; the first rule that matches names the text's licence, all that match are listed.
+A text is normalised (lower case, only letters and digits, single blanks) with marks where sentences and lines end,
+known sentences become their identifiers, and the text's sequence of identifiers is matched against ordered licence
+rules. A rule is a run of identifiers; the first rule that matches names the text's licence, all that match are listed.
+
+Sentences end at sentence signs and blank lines. A known sentence may run over line feeds, comment leaders after them
+included, and it may begin or end where a line does, so wrapped licences and notices of one line are both found. The
+SQL, which ends every sentence at a line feed, finds those of one line only.
 
 Null and empty texts have no sentences and no licence. Every row gives one row, repeated rows too; extra columns are
 ignored. Texts without any of the words that every known sentence has one of are not cut at all.
@@ -95,8 +99,12 @@ RULES = (
 #: Every known sentence has one of these.
 HINTS = ("licen", "copyright", "permission", "redistribut", "warrant", "liab", "public domain", "rights reserved")
 
-#: A sentence ends after these signs before white space, and at a line feed; a colon ends one only before conditions.
+#: A sentence ends after these signs before white space; a colon ends one only before conditions.
 _END = r"([.!?;]|(?:conditions|met):)[\x20\x09-\x0D]+"
+#: What may stand before the words of a line: signs, and the comment words of some languages.
+_LEADER = r"(?m)^(?:[^a-z0-9\n]*(?:rem|dnl)(?=[\x20\t\n])[^a-z0-9\n]*|[^a-z0-9\n]+)"
+#: The mark of a sentence's end in normalised texts.
+_MARK = "\x01"
 
 
 def normal(sentence: str) -> str:
@@ -121,9 +129,15 @@ def identifiers(text: str = "text") -> Column:
     hinted = F.lit(False)
     for hint in HINTS:
         hinted = hinted | lower.contains(hint)
-    lines = F.split(F.regexp_replace(lower, _END, "$1\n"), "\n")
+    # lines without leaders, then ends of sentences as marks, then single blanks
+    marked = F.regexp_replace(F.regexp_replace(F.translate(lower, _MARK, " "), r"\r\n?", "\n"), _LEADER, "")
+    marked = F.regexp_replace(F.regexp_replace(marked, _END, f"$1{_MARK}"), r"\n{2,}", _MARK)
+    marked = F.concat(F.lit(_MARK), F.regexp_replace(marked, r"[^a-z0-9\x01\n]+", " "), F.lit(_MARK))
+    marked = F.regexp_replace(marked, r" ?([\x01\n]) ?", "$1")
+    longest = sorted(known(), key=len, reverse=True)
+    any_known = rf"(?<=[\x01\n])(?:{'|'.join(x.replace(' ', '[ \\n]') for x in longest)})(?=[\x01\n])"
     table = F.create_map(*[F.lit(x) for pair in known().items() for x in pair])
-    names = F.transform(lines, lambda x: F.try_element_at(table, F.trim(F.regexp_replace(x, "[^a-z0-9]+", " "))))
+    names = F.transform(F.regexp_extract_all(marked, F.lit(any_known), F.lit(0)), lambda x: F.try_element_at(table, F.translate(x, "\n", " ")))
     return F.when(hinted, F.array_compact(names)).otherwise(F.array().cast("array<string>"))
 
 
