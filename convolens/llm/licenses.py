@@ -96,8 +96,8 @@ RULES = (
     ("proprietary", ("rights-reserved",)),
 )
 
-#: Every known sentence has one of these.
-HINTS = ("licen", "copyright", "permission", "redistribut", "warrant", "liab", "public domain", "rights reserved")
+#: Every known sentence has one of these, each inside one word, so it stands in the raw text as well.
+HINTS = ("licen", "copyright", "permission", "redistribut", "warrant", "liab", "domain", "reserved")
 
 #: A sentence ends after these signs before white space; a colon ends one only before conditions.
 _END = r"([.!?;]|(?:conditions|met):)[\x20\x09-\x0D]+"

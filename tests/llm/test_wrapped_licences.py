@@ -32,3 +32,9 @@ def test_wrapped_texts(spark, leader):
     frame = spark.createDataFrame([(i, text) for i, (_, _, text) in enumerate(rows)], "doc_id long, text string")
     got = {r.doc_id: (r.licence, r.sentences) for r in licenses.scan(frame).collect()}
     assert got == {i: (licence, "|".join(ids)) for i, (licence, ids, _) in enumerate(rows)}
+
+
+def test_hints_do_not_bar_other_signs_between_words(spark):
+    texts = ["All  rights  reserved.", "All rights\u00a0reserved.", "All-Rights-Reserved", "This is free and unencumbered software released into the public\tdomain."]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.licence for r in licenses.scan(frame).collect()} == {0: "proprietary", 1: "proprietary", 2: "proprietary", 3: "Unlicense"}
