@@ -180,10 +180,9 @@ def fit(labelled: DataFrame, exceptions: tuple[str, ...] = ()) -> Lexicon:
             pairs = {f" {a} {b} " for a, b, i in zip(words, words[1:], range(len(words)), strict=False) if marked[i] or marked[i + 1]}
             total.update((x, "1" if label else "0") for x in pairs)
 
-    pairs: dict[str, dict[str, int]] = {}
-    for r in _counted(labelled, around, "key string, label string, n long").where("n >= 3").collect():
-        pairs.setdefault(r["key"], {})[r["label"]] = r["n"]
-    learned = [x for x, n in pairs.items() if n.get("0", 0) >= 3 and not n.get("1", 0)]
+    per_label = [F.coalesce(F.sum(F.when(F.col("label") == x, F.col("n"))), F.lit(0)).alias(name) for x, name in (("0", "clean"), ("1", "toxic"))]
+    pairs = _counted(labelled, around, "key string, label string, n long").groupBy("key").agg(*per_label)
+    learned = [r["key"] for r in pairs.where("clean >= 3 and toxic = 0").collect()]
     lexicon = Lexicon(terms, tuple(dict.fromkeys([*learned, *map(fold, exceptions)])))
 
     def weights(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
