@@ -11,7 +11,7 @@ does), hashed over its reach. Equal windows have equal keys, so only windows who
 repeat; about one key in fifteen words is shuffled, and windows themselves only where a key is shared. Those windows
 are verified by 128-bit hashes of all their words, and the smallest document of each is found.
 
-Documents with equal word sequences (the same root symbol) are settled first: only the smallest goes on.
+Documents with equal word sequences (the same SHA-256 of their words) are settled first: only the smallest goes on.
 
 Null texts have no words. Rows without a doc_id keep their words unless a row with an id has the same ones; they
 are nobody's earlier document. Repeated rows are judged alike. Empty tables give empty results. Extra columns are
