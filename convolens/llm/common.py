@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 SPACES = " \t\n\x0b\x0c\r"
 #: A key with more than this share of all rows is heavy; there are at most HEAVY_SHARE of them.
 HEAVY_SHARE = 256
+#: Keys of up to this many bytes, with 16 bytes of overhead each, are broadcast.
+BROADCAST_BYTES = 48 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,10 +23,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a temporary one only where the session sets none (tests)."""
+    """The shared folder of spark.checkpoint.dir; a temporary one only where a local session sets none (tests).
+
+    Executors of a cluster could not read each other's temporary folders, so there an unset folder is an error.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     own = tempfile.mkdtemp(prefix="convolens-")
     atexit.register(shutil.rmtree, own, True)
     spark.sparkContext.setCheckpointDir(own)
@@ -34,12 +41,23 @@ def scratch_dir(spark: SparkSession) -> str:
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Cuts the lineage: writes df as a table in the shared folder and reads it back.
 
-    A lost executor then costs only its own running tasks. The table stays until the folder is cleared.
+    A lost executor then costs only its own running tasks. The table stays until `discard` or until the folder is
+    cleared.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes tables of `materialise` that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._scratch)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def attach(rows: DataFrame, per_key: DataFrame, key: str, total: int, size: str) -> DataFrame:
@@ -56,10 +74,11 @@ def attach(rows: DataFrame, per_key: DataFrame, key: str, total: int, size: str)
     return hot.unionByName(rest)
 
 
-def within(rows: DataFrame, keys: DataFrame, key: str, how: str = "left_semi", limit: int = 4_000_000) -> DataFrame:
-    """Semi or anti join against distinct keys, broadcast only when a count proves them few."""
-    few = keys.count() <= limit
-    return rows.join(F.broadcast(keys) if few else keys, key, how)
+def within(rows: DataFrame, keys: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
+    """Semi or anti join against distinct keys, broadcast only where a count of their bytes proves them small."""
+    width = F.octet_length(F.col(key).cast("string")) if keys.schema[key].dataType.typeName() in ("string", "binary") else F.lit(8)
+    size = keys.agg(F.sum(width + 16)).first()[0] or 0
+    return rows.join(F.broadcast(keys) if size <= BROADCAST_BYTES else keys, key, how)
 
 
 def text_of(column: str = "text") -> Column:

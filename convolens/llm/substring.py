@@ -11,7 +11,8 @@ does), hashed over its reach. Equal windows have equal keys, so only windows who
 repeat; about one key in fifteen words is shuffled, and windows themselves only where a key is shared. Those windows
 are verified by 128-bit hashes of all their words, and the smallest document of each is found.
 
-Documents with equal word sequences (the same SHA-256 of their words) are settled first: only the smallest goes on.
+A task looks at a text in stretches of bounded length, which overlap by a window, so very long texts cost time, not
+memory. Documents with equal word sequences (the same SHA-256 of their words) are settled first: only the smallest goes on.
 
 Null texts have no words. Rows without a doc_id keep their words unless a row with an id has the same ones; they
 are nobody's earlier document. Repeated rows are judged alike. Empty tables give empty results. Extra columns are
@@ -21,19 +22,21 @@ ignored. Hot keys and hot windows are pre-aggregated and attached without gather
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from convolens.llm.common import attach, materialise, within
 
 #: Words of a window; the longest symbol that each round still joins.
 WINDOW, ROUNDS = 50, (1, 2, 4)
-#: Bytes of text in one batch of the numpy passes, about.
-BATCH = 8_000_000
+#: Words in one numpy pass, bytes of text split into words at once, and rows looked at together: what bounds a task's memory.
+BATCH, PIECE, ROWS = 131_072, 1 << 20, 512
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 U = np.uint64
 _A, _B, _C = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
@@ -51,7 +54,7 @@ _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base^i and base^-i modulo 2^64 for i below n."""
     if base not in _POWERS or len(_POWERS[base][0]) < n:
-        m = max(n, 1 << 20)
+        m = 1 << (n - 1).bit_length()
         both = []
         for b in (base, pow(base, -1, 1 << 64)):
             x = np.full(m, U(b))
@@ -115,7 +118,7 @@ class Symbols:
     def pairs(self, longest: int, salt: int) -> Symbols:
         """Joins each open symbol of the left kind with an open one of the right kind after it."""
         open_ = self._open(longest)
-        right = (_mix(self.name + U(salt) * _A) >> U(63)) == 1
+        right = (_mix(self.name + U(salt * int(_A) % 2**64)) >> U(63)) == 1
         joins = np.r_[open_[:-1] & ~right[:-1] & open_[1:] & right[1:], False]
         joined = np.r_[False, joins[:-1]]
         # an open symbol looks at the neighbour that it could have joined
@@ -136,17 +139,17 @@ def window_keys(names: np.ndarray, window: int = WINDOW) -> np.ndarray:
     A key's top bits hold the level (0 for the highest), so the least key is that of the highest level.
     """
     n = len(names)
-    at = np.arange(n, dtype=np.int64)
+    at = np.arange(n, dtype=np.int32)
     hashes = Hashes(names, BASES[0])
-    levels = [Symbols(at, at + 1, names, at, at + 1)]
-    for i, longest in enumerate(ROUNDS):
-        levels.append(levels[-1].runs(longest, 2 * i + 1).pairs(longest, 2 * i + 2))
     top = (window - 1).bit_length()
     least = [np.full(n, U(2**64 - 1)) for _ in range(top)]
-    for level, x in enumerate(levels):
+    x = Symbols(at, at + 1, names, at, at + 1)
+    for level in range(len(ROUNDS) + 1):
+        if level:
+            x = x.runs(ROUNDS[level - 1], 2 * level - 1).pairs(ROUNDS[level - 1], 2 * level)
         fits = (x.high - x.low <= window) & (x.name != 0)
         low, high = x.low[fits], x.high[fits]
-        key = (hashes.of(low, high) >> U(2)) | (U(len(levels) - 1 - level) << U(62))
+        key = (hashes.of(low, high) >> U(2)) | (U(len(ROUNDS) - level) << U(62))
         start, end = np.maximum(high - window, 0), low + 1  # windows that hold the reach
         power = np.frexp((end - start).astype(np.float64))[1] - 1
         for p in range(top):
@@ -160,15 +163,47 @@ def window_keys(names: np.ndarray, window: int = WINDOW) -> np.ndarray:
     return least[0]
 
 
+def words_of(text: str | None) -> list[bytes]:
+    return (text or "").encode().split()
+
+
+def digest(words: list[bytes]) -> str:
+    return hashlib.sha256(b" ".join(words)).hexdigest()
+
+
+def _pieces(text: str | None) -> Iterator[list[bytes]]:
+    """The text's words in order, in lists from about PIECE bytes of text each."""
+    data = memoryview((text or "").encode())
+    at = 0
+    while at < len(data):
+        space = SPACE.search(data, at + PIECE)
+        end = space.start() if space else len(data)
+        yield bytes(data[at:end]).split()
+        at = end
+
+
+def stretches(text: str | None) -> Iterator[tuple[int, list[bytes]]]:
+    """Stretches of the text's words that overlap by a window less one word, each with the number of its first word.
+
+    Every window lies in exactly one stretch, and its key depends on its own words only.
+    """
+    first, held = 0, []
+    for words in _pieces(text):
+        held += words
+        if len(held) >= WINDOW:
+            yield first, held
+            first, held = first + len(held) - WINDOW + 1, held[len(held) - WINDOW + 1 :]
+
+
 class Batch:
-    """The words of some texts in one sequence, with a seam after each."""
+    """Some stretches of words in one sequence, with a seam after each."""
 
-    def __init__(self, texts: list[list[bytes]]):
-        self.sizes = [len(x) for x in texts]
-        two = np.zeros((sum(self.sizes) + len(texts) + 1, 2), U)
+    def __init__(self, parts: list[list[bytes]]):
+        self.sizes = [len(x) for x in parts]
+        two = np.zeros((sum(self.sizes) + len(parts) + 1, 2), U)
         at = 1
         self.starts = []
-        for words in texts:
+        for words in parts:
             self.starts.append(at)
             if words:
                 two[at : at + len(words)] = word_names(words)
@@ -176,88 +211,124 @@ class Batch:
         self.names = two
 
     def keys(self) -> list[np.ndarray]:
-        """The window keys of each text; none for a text shorter than a window."""
-        keys = window_keys(self.names[:, 0])
+        """The window keys of each stretch; none for one shorter than a window."""
+        keys = window_keys(np.ascontiguousarray(self.names[:, 0]))
         return [keys[a : a + max(0, n - WINDOW + 1)] for a, n in zip(self.starts, self.sizes, strict=True)]
 
     def windows(self, starts: np.ndarray) -> np.ndarray:
         """128-bit hashes of the windows at these places of the sequence."""
-        if not hasattr(self, "hashes"):
-            self.hashes = [Hashes(self.names[:, i].copy(), BASES[i]) for i in (0, 1)]
-        return np.stack([h.of(starts, starts + WINDOW) for h in self.hashes], axis=1)
-
-
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode().split()
+        out = np.empty((len(starts), 2), U)
+        for i in (0, 1):
+            out[:, i] = Hashes(np.ascontiguousarray(self.names[:, i]), BASES[i]).of(starts, starts + WINDOW)
+        return out
 
 
-def digest(words: list[bytes]) -> str:
-    return hashlib.sha256(b" ".join(words)).hexdigest()
+def _batched(texts: Iterator[tuple[int, str | None]]) -> Iterator[list[tuple[int, int, list[bytes]]]]:
+    """Stretches of numbered texts (number, first word, words) in lists of about BATCH words."""
+    held, size = [], 0
+    for i, text in texts:
+        for first, words in stretches(text):
+            held.append((i, first, words))
+            size += len(words)
+            if size >= BATCH:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
 
 
-def _parts(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
-    """The batch in parts of about BATCH bytes of text."""
-    sizes = np.array([len(x.as_py() or "") for x in batch.column(text)], np.int64)
-    part = np.cumsum(sizes) // BATCH
-    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
-    for a, b in zip(cuts, cuts[1:], strict=False):
-        if b > a:
-            yield batch.slice(a, b - a)
+def _rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for at in range(0, batch.num_rows, ROWS):
+        yield batch.slice(at, ROWS)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, text -> doc_id, n_words, sha, anchors (the distinct keys of the text's windows)."""
     for whole in batches:
-        for batch in _parts(whole, 1):
-            words = [words_of(x) for x in batch.column(1).to_pylist()]
-            long_ = [i for i, x in enumerate(words) if len(x) >= WINDOW]
-            anchors: list = [np.empty(0, np.int64)] * len(words)
-            for i, keys in zip(long_, Batch([words[i] for i in long_]).keys() if long_ else [], strict=True):
-                anchors[i] = np.unique(keys).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in words], pa.int64()), pa.array([digest(x) for x in words]), pa.array(anchors, pa.list_(pa.int64()))], names=["doc_id", "n_words", "sha", "anchors"])
+        for batch in _rows(whole):
+            texts = batch.column(1)
+            n_words, shas = [], []
+            anchors: list[list[np.ndarray]] = [[] for _ in range(batch.num_rows)]
+            for text in texts:
+                sha, n = hashlib.sha256(), 0
+                for words in _pieces(text.as_py()):
+                    if words:
+                        sha.update(b" " * (n > 0) + b" ".join(words))
+                        n += len(words)
+                n_words.append(n)
+                shas.append(sha.hexdigest())
+            for part in _batched((i, texts[i].as_py()) for i, n in enumerate(n_words) if n >= WINDOW):
+                for (i, _, _), keys in zip(part, Batch([x[2] for x in part]).keys(), strict=True):
+                    anchors[i].append(np.unique(keys))
+            merged = [np.unique(np.concatenate(x)).view(np.int64) if x else np.empty(0, np.int64) for x in anchors]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(shas, pa.string()), pa.array(merged, pa.list_(pa.int64()))], names=["doc_id", "n_words", "sha", "anchors"])
+
+
+def _sha(text: str | None) -> str:
+    sha, some = hashlib.sha256(), False
+    for words in _pieces(text):
+        if words:
+            sha.update(b" " * some + b" ".join(words))
+            some = True
+    return sha.hexdigest()
 
 
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, text, sha, shared -> window, doc_id, sha, at: every window whose key is shared."""
+    """doc_id, text, tag, shared -> window, doc_id, tag, at: every window whose key is shared."""
     for whole in batches:
-        for batch in _parts(whole, 1):
-            words = [words_of(x) for x in batch.column(1).to_pylist()]
-            right = [i for i, sha in enumerate(batch.column(2).to_pylist()) if digest(words[i]) == sha]
-            own = Batch([words[i] for i in right])
-            for i, start, keys in zip(right, own.starts, own.keys(), strict=True):
-                shared = np.array(batch.column(3)[i].as_py(), np.int64).view(U)
-                at = np.flatnonzero(np.isin(keys, shared))
-                if len(at):
-                    raw = np.ascontiguousarray(own.windows(start + at))
-                    window = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(at), [None, pa.py_buffer(raw)]).cast(pa.binary())
-                    same = pa.array(np.full(len(at), i))
-                    yield pa.RecordBatch.from_arrays([window, batch.column(0).take(same), batch.column(2).take(same), pa.array(at.astype(np.int32))], names=["window", "doc_id", "sha", "at"])
+        for batch in _rows(whole):
+            ids, texts, tags = batch.column(0), batch.column(1), batch.column(2)
+            shared = [x.values.to_numpy().view(U) for x in batch.column(3)]
+            right = ((i, text) for i, text in ((i, texts[i].as_py()) for i in range(batch.num_rows)) if tag(_sha(text)) == tags[i].as_py())
+            for part in _batched(right):
+                own = Batch([x[2] for x in part])
+                for (i, first, _), start, keys in zip(part, own.starts, own.keys(), strict=True):
+                    at = np.flatnonzero(np.isin(keys, shared[i]))
+                    for a in range(0, len(at), BATCH):
+                        some = at[a : a + BATCH]
+                        window = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(some), [None, pa.py_buffer(own.windows(start + some))]).cast(pa.binary())
+                        same = pa.array(np.full(len(some), i))
+                        yield pa.RecordBatch.from_arrays([window, ids.take(same), tags.take(same), pa.array((first + some).astype(np.int64))], names=["window", "doc_id", "tag", "at"])
+
+
+def tag(sha: str) -> int:
+    """The first 64 bits of a digest as a signed long: tells the texts of one doc_id apart."""
+    return int(np.uint64(int(sha[:16], 16)).view(np.int64))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """text, sha, starts -> sha, n_removed, kept_sha: the text without the words of the windows at `starts`."""
-    for batch in batches:
-        out = []
-        for text, sha, starts in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            words = words_of(text)
-            if digest(words) == sha:
-                kept = keep_words(words, starts)
-                out.append((sha, len(words) - len(kept), digest(kept)))
-        columns = list(zip(*out, strict=True)) or [[], [], []]
-        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.string())], names=["sha", "n_removed", "kept_sha"])
-
-
-def keep_words(words: list[bytes], starts: list[int]) -> list[bytes]:
-    """The words outside the windows that begin at `starts`."""
-    depth = np.zeros(len(words) + 1, np.int64)
-    np.add.at(depth, starts, 1)
-    np.add.at(depth, np.asarray(starts, np.int64) + WINDOW, -1)
-    gone = np.cumsum(depth[:-1]) > 0
-    return [w for w, x in zip(words, gone.tolist(), strict=True) if not x]
+    """doc_id, text, tag, starts -> doc_id, tag, n_removed, kept_sha: the text without the words of the windows at `starts`."""
+    for whole in batches:
+        for batch in _rows(whole):
+            right, n_removed, shas = [], [], []
+            for i, (text, own, starts) in enumerate(zip(*batch.columns[1:], strict=True)):
+                if tag(_sha(text.as_py())) == own.as_py():
+                    removed, sha = cut_words(text.as_py(), np.sort(starts.values.to_numpy()))
+                    right.append(i)
+                    n_removed.append(removed)
+                    shas.append(sha)
+            same = pa.array(right, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(same), batch.column(2).take(same), pa.array(n_removed, pa.int64()), pa.array(shas, pa.string())], names=["doc_id", "tag", "n_removed", "kept_sha"])
+
+
+def cut_words(text: str | None, starts: np.ndarray) -> tuple[int, str]:
+    """The number of words in the windows at the sorted `starts`, and the digest of all other words."""
+    sha, some, at, removed = hashlib.sha256(), False, 0, 0
+    for words in _pieces(text):
+        place = np.arange(at, at + len(words))
+        last = np.searchsorted(starts, place, "right") - 1  # the window that starts here or last before
+        gone = (last >= 0) & (place - starts[np.maximum(last, 0)] < WINDOW) if len(starts) else np.zeros(len(words), bool)
+        kept = [w for w, x in zip(words, gone.tolist(), strict=True) if not x]
+        if kept:
+            sha.update(b" " * some + b" ".join(kept))
+            some = True
+        removed += int(gone.sum())
+        at += len(words)
+    return removed, sha.hexdigest()
 
 
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(every row: doc_id, n_words, sha, first; repeated windows by word sequence: sha, doc_id, starts).
+    """(every row: doc_id, n_words, sha, tag, first; repeated windows by word sequence: tag, doc_id, starts).
 
     first is the smallest doc_id of the same word sequence. starts are the places of the windows that also start in a
     document with a smaller doc_id than first; sequences without any have no row.
@@ -267,16 +338,23 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tupl
     read = materialise(rows.mapInArrow(_read, f"doc_id {kind}, n_words long, sha string, anchors array<long>"), "anchors")
     n = read.count()
     firsts = read.groupBy("sha").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
-    base = materialise(attach(read, firsts, "sha", n, "n").withColumn("anchors", F.when(F.col("doc_id") == F.col("first"), F.col("anchors"))), "firsts")
-    keys = base.where("anchors is not null").select("doc_id", "sha", F.explode("anchors").alias("key"))
+    base = materialise(attach(read, firsts, "sha", n, "n").withColumns({"anchors": F.when(F.col("doc_id") == F.col("first"), F.col("anchors")), "tag": _tag("sha")}), "firsts")
+    keys = base.where("anchors is not null").select("doc_id", "tag", F.explode("anchors").alias("key"))
     shared = keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high").select("key", "n")
-    of_doc = attach(keys, shared, "key", n, "n").groupBy("doc_id", "sha").agg(F.collect_set("key").alias("shared"))
-    of_doc = materialise(of_doc, "shared-keys")
+    shared = materialise(shared, "shared-keys")
+    of_doc = attach(keys, shared, "key", keys.count(), "n").groupBy("doc_id", "tag").agg(F.collect_set("key").alias("shared"))
+    of_doc = materialise(of_doc, "keys-of-documents")
     suspects = within(rows, of_doc.select("doc_id").distinct(), "doc_id")
-    windows = materialise(suspects.join(of_doc, "doc_id").select("doc_id", "text", "sha", "shared").mapInArrow(_emit, f"window binary, doc_id {kind}, sha string, at int"), "windows")
+    windows = materialise(suspects.join(of_doc, "doc_id").select("doc_id", "text", "tag", "shared").mapInArrow(_emit, f"window binary, doc_id {kind}, tag long, at long"), "windows")
     least = windows.groupBy("window").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count(F.lit(1)).alias("n")).where("least < most").drop("most")
-    later = attach(windows, least, "window", n, "n").where("doc_id > least")
-    return base.select("doc_id", "n_words", "sha", "first"), later.groupBy("sha", "doc_id").agg(F.collect_set("at").alias("starts"))
+    later = attach(windows, materialise(least, "least"), "window", windows.count(), "n").where("doc_id > least")
+    return base.select("doc_id", "n_words", "sha", "tag", "first"), later.groupBy("tag", "doc_id").agg(F.collect_set("at").alias("starts"))
+
+
+def _tag(sha: str) -> Column:
+    """`tag` of a column of digests."""
+    high, low = (F.conv(F.substring(sha, at, 8), 16, 10).cast("long") for at in (1, 9))
+    return F.shiftleft(high, 32).bitwiseOR(low)
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -285,9 +363,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     starts = materialise(starts, "starts")
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     suspects = within(rows, starts.select("doc_id").distinct(), "doc_id")
-    cut = suspects.join(starts, "doc_id").select("text", "sha", "starts").mapInArrow(_cut, "sha string, n_removed long, kept_sha string")
-    cut = materialise(cut.groupBy("sha").agg(F.first("n_removed").alias("n_removed"), F.first("kept_sha").alias("kept_sha")), "cut")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    cut = suspects.join(starts, "doc_id").select("doc_id", "text", "tag", "starts").mapInArrow(_cut, f"doc_id {kind}, tag long, n_removed long, kept_sha string")
+    cut = materialise(cut.groupBy(F.col("doc_id").alias("first"), "tag").agg(F.first("n_removed").alias("n_removed"), F.first("kept_sha").alias("kept_sha")), "cut")
     copy = F.coalesce((F.col("n_words") >= WINDOW) & (F.col("doc_id") > F.col("first")), F.lit(False))
     gone = base.where(copy).select("doc_id", "n_words", F.col("n_words").alias("n_removed"), F.sha2(F.lit(""), 256).alias("kept_sha256"))
-    rest = base.where(~copy).join(cut, "sha", "left")
+    rest = base.where(~copy).join(cut, ["first", "tag"], "left")
     return gone.unionByName(rest.select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("kept_sha", "sha").alias("kept_sha256")))
