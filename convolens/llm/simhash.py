@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from convolens.llm import shingles
 from convolens.llm.common import attach, materialise, within
 from convolens.llm.components import components
 
@@ -65,11 +66,22 @@ def fingerprints(docs: DataFrame, n: int = 3, doc_id: str = "doc_id", text: str
     return rows.mapInArrow(run, f"doc_id {rows.schema[0].dataType.simpleString()}, fp long")
 
 
+_EVEN = 0x5555555555555555
+
+
 def _points(fp: Column) -> Column:
-    """The 32 counts of two-bit segments, packed: bits 2i and 2i + 1 hold count i."""
-    low, high = fp.bitwiseAND(F.lit(0x5555555555555555)), F.shiftright(fp, 1).bitwiseAND(F.lit(0x5555555555555555))
-    both = low.bitwiseAND(high)  # a segment with two bits counts 2 (binary 10), one bit counts 1
-    return low.bitwiseXOR(high).bitwiseOR(F.shiftleft(both, 1))
+    """The 32 counts of two-bit segments in 64 bits: bit 2i is set if count i is 1 or more, bit 2i + 1 if it is 2.
+
+    So the Manhattan distance of two points is the number of bits in which these differ.
+    """
+    low, high = fp.bitwiseAND(F.lit(_EVEN)), F.shiftright(fp, 1).bitwiseAND(F.lit(_EVEN))
+    return low.bitwiseOR(high).bitwiseOR(F.shiftleft(low.bitwiseAND(high), 1))
+
+
+def _points_of(fps: np.ndarray) -> np.ndarray:
+    """`_points` of an array of unsigned longs."""
+    low, high = fps & np.uint64(_EVEN), (fps >> np.uint64(1)) & np.uint64(_EVEN)
+    return low | high | ((low & high) << np.uint64(1))
 
 
 def _cells(distance: int, fixed: int) -> list[tuple[int, int]]:
@@ -81,14 +93,12 @@ def _cells(distance: int, fixed: int) -> list[tuple[int, int]]:
 
 
 def _near(a: np.ndarray, b: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Indexes of the pairs of a and b at this Hamming distance or less; the popcount bound goes first."""
+    """Indexes of the pairs of a and b at this Hamming distance or less; the Manhattan bound goes first."""
     parts = []
-    segments = lambda x: np.stack([np.bitwise_count((x >> np.uint64(16 * i)) & np.uint64(0xFFFF)) for i in range(4)]).astype(np.int8)
-    pa_, pb = segments(a), segments(b)
-    step = max(1, 4_000_000 // max(1, len(b)))
+    one, two = _points_of(a), _points_of(b)
+    step = max(1, 2_000_000 // max(1, len(b)))
     for at in range(0, len(a), step):
-        bound = sum(np.abs(x[at : at + step, None] - y[None, :]) for x, y in zip(pa_, pb, strict=True))
-        i, j = np.nonzero(bound <= distance)
+        i, j = np.nonzero(np.bitwise_count(one[at : at + step, None] ^ two[None, :]) <= distance)
         real = np.bitwise_count(a[at + i] ^ b[j]) <= distance
         parts.append((at + i[real], j[real]))
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.empty(0, np.int64),) * 2
@@ -115,12 +125,14 @@ def _small_groups(keys: np.ndarray, fps: np.ndarray, distance: int) -> tuple[np.
     found = []
     shift = 1
     at = np.arange(len(keys))
+    points = _points_of(fps)
     while True:
         at = at[at + shift < len(keys)]
         at = at[keys[at] == keys[at + shift]]
         if not len(at):
             break
-        near = at[np.bitwise_count(fps[at] ^ fps[at + shift]) <= distance]
+        near = at[np.bitwise_count(points[at] ^ points[at + shift]) <= distance]
+        near = near[np.bitwise_count(fps[near] ^ fps[near + shift]) <= distance]
         found.append((near, near + shift))
         shift += 1
     return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, np.int64),) * 2
@@ -186,9 +198,9 @@ def link(docs: DataFrame, distance: int = 3, n: int = 3, doc_id: str = "doc_id",
     prints = materialise(fingerprints(docs, n, doc_id, text), "prints")
     points = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "points")
     linked = components(near_links(points.select("fp"), distance))
-    roots = points.join(linked.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "first", "n")
-    of_root = roots.groupBy("root").agg(F.min("first").alias("component_id"))
-    per_fp = materialise(roots.join(of_root, "root").select("fp", "component_id", "n"), "components")
+    roots = materialise(points.join(linked.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "first", "n"), "roots")
+    of_root = roots.groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("members"))
+    per_fp = materialise(attach(roots, of_root, "root", roots.count(), "members").select("fp", "component_id", "n"), "components")
     return attach(prints, per_fp, "fp", prints.count(), "n").select("doc_id", "fp", "component_id")
 
 
@@ -196,7 +208,13 @@ def hexadecimal(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def keep_first(docs: DataFrame, distance: int = 3, n: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with one row of each component: that of the smallest doc_id. Rows without a doc_id are kept."""
+def keep_first(docs: DataFrame, distance: int = 3, n: int = 3, doc_id: str = "doc_id", text: str = "text", similar: bool = False) -> DataFrame:
+    """docs with one row of each component: that of the smallest doc_id. Rows without a doc_id are kept.
+
+    Texts are linked by their fingerprints, or with `similar` by a Jaccard similarity of 0.8 or more of their whole
+    sets of five-word shingles: the same embedding and grid over the sets themselves, see `shingles`.
+    """
+    if similar:
+        return shingles.keep_first(docs, doc_id, text)
     dropped = link(docs.where(F.col(doc_id).isNotNull()), distance, n, doc_id, text).where("doc_id != component_id").select(F.col("doc_id").alias(doc_id)).distinct()
     return within(docs, materialise(dropped, "dropped"), doc_id, "left_anti")
