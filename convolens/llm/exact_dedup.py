@@ -2,22 +2,27 @@
 
 Pass 1 reduces every text to a digest and sets the bits of a filter that at least two rows hit. Pass 2 tests
 every row against that filter: a row that fails is certainly unique and passes straight through; only rows that
-pass are shuffled by digest and grouped.
+pass are shuffled by digest and grouped. Where one filter for all rows would be too large to broadcast, the hash space
+is cut into parts; rows are written once more, by part, and unique ones still never shuffle.
 
-Null texts count as empty. Rows that repeat a doc_id are told apart, and exactly one row of a group stays. Empty
-tables give empty results. Extra columns are ignored by `decisions` and kept by `keep_first`.
+Null texts count as empty. Rows that repeat a doc_id are told apart, and exactly one row of a group stays. Very long
+texts are read whole. Empty tables give empty results. Extra columns of any name are ignored by `decisions` and kept
+by `keep_first`.
 """
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from convolens.llm.common import SPACES, attach, materialise, text_of
+from convolens.llm.common import SPACES, attach, materialise, scratch_dir, text_of
 
 #: Filter bits for a row; two of them are set.
 BITS_PER_ROW = 16
-#: A filter of up to this many bytes is broadcast; a larger one is joined by bucket.
+#: Greatest filter, which is broadcast. Where all rows need a larger one, the digests are cut into parts with a filter each.
 BROADCAST_BYTES = 32 << 20
 
 
@@ -39,25 +44,51 @@ def _bit(bitmap: str, position: Column) -> Column:
     return F.coalesce(F.getbit(value, at.bitwiseAND(F.lit(7)).cast("int")) == 1, F.lit(False))
 
 
+def _bits(n: int) -> int:
+    return 1 << max(16, (BITS_PER_ROW * max(n, 1) - 1).bit_length())
+
+
+def slices(rows: DataFrame, digest: str, n: int) -> list[tuple[DataFrame, int]]:
+    """rows cut by digest into parts whose filters can each be broadcast, with about the number of rows of each.
+
+    More than one part is written by the tasks that hold the rows, in a folder for each part, without a shuffle.
+    """
+    parts = -(-_bits(n) // 8 // BROADCAST_BYTES)
+    if parts <= 1:
+        return [(rows, n)]
+    spark = rows.sparkSession
+    path = f"{scratch_dir(spark)}/slices-{uuid.uuid4().hex}"
+    cut = rows.select(F.struct("*").alias("row"), F.pmod(F.xxhash64(F.col(digest), F.lit(2)), F.lit(parts)).alias("slice"))
+    cut.write.partitionBy("slice").parquet(path)
+    table = spark.read.schema(cut.schema).parquet(path)
+    return [(table.where(F.col("slice") == i).select("row.*"), -(-n // parts)) for i in range(parts)]
+
+
 def repeat_filter(rows: DataFrame, digest: str, n: int) -> tuple[DataFrame, int]:
-    """The second filter: for each bucket a bitmap of the positions hit by two rows or more. With its bits."""
-    bits = 1 << max(16, (BITS_PER_ROW * max(n, 1) - 1).bit_length())
+    """The second filter: for each bucket a bitmap of the positions hit by two rows or more. With its bits.
+
+    This pass shuffles two numbers of eight bytes a row, less what map tasks add up, and no text.
+    """
+    bits = _bits(n)
     hits = rows.select(F.explode(F.array(*_positions(F.col(digest), bits))).alias("position")).groupBy("position").count()
     twice = hits.where("count > 1")
     return twice.groupBy(F.bitmap_bucket_number("position").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("position")).alias("bitmap")), bits
 
 
 def possibly_repeated(rows: DataFrame, bitmaps: DataFrame, bits: int, digest: str) -> DataFrame:
-    """rows with __maybe: false means that no other row has this digest."""
-    sides = []
+    """row (a struct of all columns of rows) and maybe: false means that no other row has this digest."""
+    first, second = _positions(F.col(f"row.{digest}"), bits)
+    out = rows.select(F.struct("*").alias("row")).withColumns({"bucket1": F.bitmap_bucket_number(first), "bucket2": F.bitmap_bucket_number(second)})
     for i in (1, 2):
-        side = bitmaps.select(F.col("bucket").alias(f"__bucket{i}"), F.col("bitmap").alias(f"__bitmap{i}"))
-        sides.append(F.broadcast(side) if bits // 8 <= BROADCAST_BYTES else side)
-    first, second = _positions(F.col(digest), bits)
-    out = rows.withColumns({"__bucket1": F.bitmap_bucket_number(first), "__bucket2": F.bitmap_bucket_number(second)})
-    out = out.join(sides[0], "__bucket1", "left").join(sides[1], "__bucket2", "left")
-    out = out.withColumn("__maybe", _bit("__bitmap1", first) & _bit("__bitmap2", second))
-    return out.drop("__bucket1", "__bucket2", "__bitmap1", "__bitmap2")
+        # bitmaps of `bits` bits at most: `slices` keeps them within BROADCAST_BYTES
+        out = out.join(F.broadcast(bitmaps.select(F.col("bucket").alias(f"bucket{i}"), F.col("bitmap").alias(f"bitmap{i}"))), f"bucket{i}", "left")
+    return out.select("row", (_bit("bitmap1", first) & _bit("bitmap2", second)).alias("maybe"))
+
+
+def _tested(rows: DataFrame, digests: DataFrame, n: int) -> DataFrame:
+    """`possibly_repeated` of rows, by a filter over the same rows' digests (column sha)."""
+    bitmaps, bits = repeat_filter(digests, "sha", n)
+    return possibly_repeated(rows, materialise(bitmaps, "repeats"), bits, "sha")
 
 
 def decisions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -66,24 +97,15 @@ def decisions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     Of equal normalised texts the row with the most code points in its original text stays, then the smallest
     doc_id, then any one of fully equal rows.
     """
-    digests = materialise(
-        docs.select(
-            F.col(doc_id).alias("doc_id"),
-            F.sha2(normalised(text), 256).alias("text_sha256"),
-            F.length(text_of(text)).alias("__length"),
-            F.monotonically_increasing_id().alias("__row"),
-        ),
-        "digests",
-    )
+    digests = materialise(docs.select(F.col(doc_id).alias("doc_id"), F.sha2(normalised(text), 256).alias("sha"), F.length(text_of(text)).alias("length"), F.monotonically_increasing_id().alias("number")), "digests")
     n = digests.count()
-    bitmaps, bits = repeat_filter(digests, "text_sha256", n)
-    tested = possibly_repeated(digests, materialise(bitmaps, "repeats"), bits, "text_sha256")
-    single = tested.where(~F.col("__maybe")).select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
-    maybe = materialise(tested.where("__maybe").drop("__maybe"), "maybe")
-    best = F.min(F.struct((-F.col("__length")).alias("length"), F.col("doc_id").alias("id"), F.col("__row").alias("row")))
-    groups = maybe.groupBy("text_sha256").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best"))
-    joined = attach(maybe, groups, "text_sha256", n, "group_size")
-    grouped = joined.select("doc_id", F.col("best.id").alias("keep_id"), "group_size", (F.col("__row") == F.col("best.row")).alias("kept"), "text_sha256")
+    tested = reduce(DataFrame.unionByName, [_tested(rows, rows.select("sha"), m) for rows, m in slices(digests, "sha", n)])
+    single = tested.where(~F.col("maybe")).select("row.doc_id", F.col("row.doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("row.sha").alias("text_sha256"))
+    maybe = materialise(tested.where("maybe").select("row.*"), "maybe")
+    best = F.min(F.struct((-F.col("length")).alias("length"), F.col("doc_id").alias("id"), F.col("number").alias("number")))
+    groups = maybe.groupBy("sha").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best"))
+    joined = attach(maybe, groups, "sha", n, "group_size")
+    grouped = joined.select("doc_id", F.col("best.id").alias("keep_id"), "group_size", (F.col("number") == F.col("best.number")).alias("kept"), F.col("sha").alias("text_sha256"))
     return single.unionByName(grouped)
 
 
@@ -93,11 +115,11 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     Rows that the filter proves unique stay where they are; only possibly repeated rows shuffle. Each map task
     reduces its copies to one row for a digest before that.
     """
-    names = docs.columns
-    tagged = docs.withColumn("__sha", F.sha2(normalised(text), 256))
-    digests = materialise(tagged.select("__sha"), "digests")
-    bitmaps, bits = repeat_filter(digests, "__sha", digests.count())
-    tested = possibly_repeated(tagged, materialise(bitmaps, "repeats"), bits, "__sha")
-    order = F.struct(-F.length(text_of(text)), F.col(doc_id))
-    best = tested.where("__maybe").groupBy("__sha").agg(F.min_by(F.struct(*[F.col(c) for c in names]), order).alias("__best"))
-    return tested.where(~F.col("__maybe")).select(*names).unionByName(best.select("__best.*").select(*names))
+    tagged = docs.select(F.struct("*").alias("doc"), F.sha2(normalised(text), 256).alias("sha"))
+    digests = materialise(tagged.select("sha"), "digests")
+    n = digests.count()
+    parts = slices(tagged, "sha", n)
+    tested = reduce(DataFrame.unionByName, [_tested(rows, digests if len(parts) == 1 else rows.select("sha"), m) for rows, m in parts])
+    order = F.struct(-F.length(text_of(f"row.doc.{text}")), F.col(f"row.doc.{doc_id}"))
+    best = tested.where("maybe").groupBy("row.sha").agg(F.min_by("row.doc", order).alias("doc"))
+    return tested.where(~F.col("maybe")).select("row.doc.*").unionByName(best.select("doc.*"))
