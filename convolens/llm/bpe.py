@@ -10,7 +10,9 @@ space at all, the window grows to the whole stretch, so the result is exact for
 
 Decoding concatenates the tokens' bytes up a tree of the same shape.
 
-Null texts are empty. The tokenizer's file is a parameter; each Python worker loads it once.
+Null texts are empty. Repeated rows are encoded each, empty tables give empty results, extra columns are ignored. A very
+long text is one task's, in memory of its own size; one without white space is encoded anew at every seam. The
+tokenizer's file is a parameter; each Python worker loads it once.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Code points of a leaf, and of the first window on either side of a seam.
-LEAF, WINDOW = 8192, 64
+LEAF, WINDOW = 512, 64
 
 
 class Codec:

@@ -113,6 +113,50 @@ def test_simhash_links_of_random_points(spark):
     assert {frozenset(g) for g in groups.values()} == {frozenset(g) for g in wanted.values()}
 
 
+@pytest.mark.parametrize("few", [(0, 10**9), (0, 0)])
+def test_simhash_links_by_finer_cells_and_blocks(spark, monkeypatch, few):
+    monkeypatch.setattr(simhash, "FEW_POINTS", few)
+    monkeypatch.setattr(simhash, "BLOCK", 16)
+    test_simhash_links_of_random_points(spark)
+
+
+def test_manhattan_distance_of_points():
+    rng = np.random.default_rng(1)
+    a, b = (rng.integers(0, 2**63, 500).astype(np.uint64) for _ in range(2))
+    counts = lambda x: np.stack([np.bitwise_count((x >> np.uint64(2 * i)) & np.uint64(3)) for i in range(32)]).astype(int)
+    assert (np.bitwise_count(simhash._points_of(a) ^ simhash._points_of(b)) == np.abs(counts(a) - counts(b)).sum(axis=0)).all()
+    assert (np.bitwise_count(simhash._points_of(a) ^ simhash._points_of(b)) <= np.bitwise_count(a ^ b)).all()
+
+
+def test_topk_over_several_blocks_stops_early(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATES", 40)
+    monkeypatch.setattr(topk, "QUERIES", 3)
+    test_topk_equals_brute_force(spark)
+    rng = np.random.default_rng(8)
+    lists = topk.Lists(np.arange(5000), rng.integers(-9, 9, (5000, 4)))
+    read = []
+
+    class Counted(np.ndarray):
+        def __getitem__(self, at):
+            if isinstance(at, np.ndarray):
+                read.append(len(at))
+            return np.asarray(super().__getitem__(at))
+
+    lists.vectors = lists.vectors.view(Counted)
+    lists.top(np.array([900, 1, 0, 0]), -1, 5)
+    assert 0 < sum(read) < 4000
+
+
+def test_topk_of_huge_components(spark):
+    schema = "vec_id long, embedding array<double>"
+    rows = topk.top_k(spark.createDataFrame([(0, [3e6, 1.0]), (1, [3e6, 2.0]), (2, [2e6, 0.0])], schema), F.col("vec_id") == 0, 2).collect()
+    scale = [int(x * 256) for x in (3e6, 1.0, 2.0, 2e6)]
+    assert [(r.vec_id, r.score) for r in sorted(rows, key=lambda r: r.rank)] == [(1, scale[0] ** 2 + scale[1] * scale[2]), (2, scale[0] * scale[3])]
+    for big in (3e7, 1e20):
+        with pytest.raises(Exception, match="does not fit a long"):
+            topk.top_k(spark.createDataFrame([(0, [big] * 2), (1, [big] * 2)], schema), F.col("vec_id") == 0).collect()
+
+
 def test_topk_equals_brute_force(spark):
     rng = np.random.default_rng(3)
     rows = [(i, [float(x) for x in rng.normal(size=8).round(1)], "x") for i in range(300)]
@@ -145,6 +189,19 @@ def test_exact_dedup_dirty_rows(docs, none):
     assert exact_dedup.decisions(none).count() == 0 and exact_dedup.keep_first(none).count() == 0
 
 
+def test_exact_dedup_with_filters_for_parts_of_the_hash_space(docs, none, monkeypatch):
+    clashing = docs.withColumns({c: F.lit("own") for c in ("sha", "maybe", "row", "doc", "bucket1", "bitmap1", "slice", "best")})
+    whole, kept = Counter(exact_dedup.decisions(docs).collect()), Counter(exact_dedup.keep_first(clashing).collect())
+    monkeypatch.setattr(exact_dedup, "BROADCAST_BYTES", 3000)
+    assert len(exact_dedup.slices(docs.withColumn("sha", F.sha2("text", 256)), "sha", 13)) == 3
+    assert Counter(exact_dedup.decisions(docs).collect()) == whole
+    assert Counter((r.doc_id, r.sha, r.slice) for r in exact_dedup.keep_first(clashing).collect()) == Counter((r.doc_id, r.sha, r.slice) for r in kept.elements())
+    assert exact_dedup.keep_first(none).count() == 0
+    # one exchange, that of the possibly repeated rows: unique ones reach the result without
+    plan = exact_dedup.keep_first(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+
+
 def plain_removal(rows):
     seen, words = defaultdict(set), [(i, WORD.findall((t or "").encode())) for i, t, *_ in rows]
     for i, w in words:
@@ -254,7 +311,89 @@ def test_mixing(spark, docs, none):
         assert all(abs(taken[s] - target[s]) <= biggest[s] for s in sizes)
         again = Counter((r.doc_id, r.taken) for r in mixing.mix(frame.repartition(5)).collect())
         assert again == Counter((r.doc_id, r.taken) for r in rows)
-    assert mixing.mix(none).count() == 0 and mixing.apply_mix(docs).columns == docs.columns
+    assert mixing.mix(none).count() == 0 and mixing.apply_mix(none).count() == 0
+
+
+def plain_targets(sizes):
+    """The contract's targets by water filling: one source at a time is fixed at its cap."""
+    names = sorted([s for s in sizes if s is not None]) + [s for s in sizes if s is None]
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    capped = set()
+    while True:
+        rest = 1.5 * sum(sizes.values()) - sum(2 * sizes[s] for s in capped)
+        share = {s: rest * weight[s] / sum(weight[x] for x in names if x not in capped) for s in names if s not in capped}
+        over = [s for s in share if share[s] > 2 * sizes[s]]
+        if not over:
+            return share | {s: 2 * sizes[s] for s in capped}
+        capped.add(max(over, key=lambda s: share[s] / max(sizes[s], 1e-9)))
+
+
+def test_mix_meets_targets_computed_apart(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = frame.collect()
+    sizes = Counter()
+    for r in rows:
+        sizes[r.source] += len(WORD.findall((r.text or "").encode()))
+    source, words = {r.doc_id: r.source for r in rows}, {r.doc_id: len(WORD.findall((r.text or "").encode())) for r in rows}
+    found = mixing.mix(frame).collect()
+    taken = Counter()
+    for r in found:
+        assert r.size == words[r.doc_id] and 0 <= r.taken <= 2 * r.size
+        taken[source[r.doc_id]] += r.taken
+    for s, target in plain_targets(sizes).items():
+        assert abs(taken[s] - target) <= max(5, 0.02 * target)
+
+
+def test_mix_applied_to_rows_of_any_order(spark, docs):
+    """Recomputed, joined and repartitioned inputs give each row the copies that `mix` gives it; names may clash."""
+    extra = docs.withColumns({c: F.lit(7) for c in ("copies", "row", "number", "pattern", "own", "size", "group")})
+    for frame in (extra, extra.repartition(5), extra.join(extra.select("doc_id").distinct(), "doc_id")):
+        got = mixing.apply_mix(frame)
+        assert sorted(got.columns) == sorted(frame.columns)
+        wanted = Counter()
+        for r in mixing.mix(docs).collect():
+            wanted[r.doc_id] += r.copies
+        assert Counter(r.doc_id for r in got.collect()) == +wanted
+    frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(3)
+    wanted = Counter({r.doc_id: r.copies for r in mixing.mix(frame).collect()})
+    assert Counter(r.doc_id for r in mixing.apply_mix(frame).collect()) == +wanted
+
+
+def test_texts_of_several_sources_are_repeated_less(spark):
+    shared = [(i, f"both {i} " + "w " * 8, s) for s, at in (("a", 0), ("b", 100)) for i in range(at, at + 20)]
+    shared = [(i, t if s == "a" else shared[i - 100][1], s) for i, t, s in shared]
+    own = [(200 + i, f"only {i} " + "v " * 8, "ab"[i % 2]) for i in range(80)]
+    frame = spark.createDataFrame(shared + own, "doc_id long, text string, source string")
+    copies = {r.doc_id: r.copies for r in mixing.mix(frame, quota={"a": 450, "b": 450}).collect()}
+    assert sum(copies.values()) == 90
+    texts = Counter()
+    for i, t, _ in shared:
+        texts[t] += copies[i]
+    # 80 texts of one source and 20 of both: 90 copies need no text twice but by the choice of seeded documents
+    assert sum(copies[i] for i, *_ in own) >= 60 and sum(texts.values()) <= 30
+
+
+def test_flow_is_the_cheapest():
+    """Against all integer flows of small networks."""
+    from itertools import product
+
+    rng = np.random.default_rng(2)
+    for _ in range(30):
+        own = {(("a",), "a"): int(rng.integers(1, 3)), (("b",), "b"): int(rng.integers(1, 3)), (("a", "b"), "a"): int(rng.integers(1, 3)), (("a", "b"), "b"): int(rng.integers(1, 3))}
+        capacity = {("a",): own[("a",), "a"], ("b",): own[("b",), "b"], ("a", "b"): int(rng.integers(1, 3))}
+        quota = {s: int(rng.integers(0, 2 * sum(w for (_, x), w in own.items() if x == s) + 1)) for s in "ab"}
+        flow = mixing.route(capacity, quota, 2, own)
+        keys = list(own)
+
+        def cost(words, capacity=capacity, keys=keys):
+            total = Counter()
+            for (p, _), w in zip(keys, words, strict=True):
+                total[p] += w
+            return sum(2 * (i // capacity[p] + 1) - 1 for p, w in total.items() for i in range(w))
+
+        best = min(cost(x) for x in product(*[range(2 * own[k] + 1) for k in keys]) if all(sum(w for (_, t), w in zip(keys, x, strict=True) if t == s) == quota[s] for s in "ab"))
+        got = [flow[p][s] for p, s in keys]
+        assert all(sum(flow[p][s] for p, t in keys if t == s) == quota[s] for s in "ab") and cost(got) == best
 
 
 def test_overlapping_sources_share_a_pattern():
@@ -318,3 +457,35 @@ def test_pipeline_stages(spark):
     _, whole = reference_encoding()
     wanted = Counter((r.doc_id, len(whole.encode_ordinary(texts[r.doc_id] or ""))) for r in docs.collect())
     assert Counter((r.doc_id, r.n_tokens) for r in corpus_pipeline.run(spark, SF).collect()) == wanted
+
+
+def test_substring_dedup_of_texts_longer_than_a_stretch(spark, monkeypatch):
+    """Windows that cross stretches and batches, and a passage that one document holds twice."""
+    rng = np.random.default_rng(11)
+    words = [f"v{i}" for i in rng.integers(0, 10**6, 900)]
+    twice = " ".join([*words[100:220], "middle", *words[100:220]])
+    rows = [(1, " ".join(words)), (2, twice), (3, " ".join(["x", *words[340:700], "y", *words[40:95]])), (4, " ".join(["q"] * 700)), (5, " ".join(["q"] * 300 + words[200:251]))]
+    for piece, batch in ((64, 100), (700, 333), (1 << 20, 1 << 17)):
+        monkeypatch.setattr(substring, "PIECE", piece)
+        monkeypatch.setattr(substring, "BATCH", batch)
+        import pyarrow as pa
+
+        both = pa.RecordBatch.from_pydict({"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows]})
+        keys = {i: set(a) for b in substring._read(iter([both])) for i, a in zip(b["doc_id"].to_pylist(), b["anchors"].to_pylist(), strict=True)}
+        shared = pa.RecordBatch.from_pydict({"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows], "tag": [substring.tag(substring._sha(r[1])) for r in rows], "shared": [sorted(keys[r[0]]) for r in rows]})
+        seen = defaultdict(set)
+        for b in substring._emit(iter([shared])):
+            for w, i, at in zip(b["window"].to_pylist(), b["doc_id"].to_pylist(), b["at"].to_pylist(), strict=True):
+                seen[i].add((at, w))
+        assert {i: len(x) for i, x in seen.items()} == {i: len(t.split()) - 49 for i, t in rows}
+        if piece == 64:
+            first, first_keys = seen, keys
+        assert seen == first and keys == first_keys
+        for i, t in rows:
+            starts = np.array([0, 30, 200], np.int64)
+            gone = set(range(80)) | set(range(200, 250))
+            kept = [w for n, w in enumerate(t.split()) if n not in gone]
+            assert substring.cut_words(t, starts) == (len(t.split()) - len(kept), hashlib.sha256(" ".join(kept).encode()).hexdigest())
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substring.remove_repeats(frame).collect())
+    assert got == plain_removal(rows)
