@@ -16,7 +16,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from convolens.functions.text_checks import BLANK
+from convolens.functions.text_checks import BLANK, BLANK_CHARS, finding, let, pii_check, truncated_check
 
 #: Character ranges of the scripts that the language rule counts.
 SCRIPTS = {"hangul": r"[가-힣\x{1100}-\x{11FF}\x{3130}-\x{318F}]", "latin": "[A-Za-z]", "kana": r"[\x{3040}-\x{30FF}]", "han": r"[\x{4E00}-\x{9FFF}]"}
@@ -33,20 +33,26 @@ INJECTION = (
     r"(?i)(시스템|system)\s*(프롬프트|prompt).{0,10}(출력|공개|보여|reveal|print)",
     r"(다음|아래).{0,6}(문장|내용|텍스트).{0,10}(그대로|반드시).{0,10}(출력|답변|말)",
     r"(?i)you\s+are\s+now\s+",
-    r"(?i)(관리자|admin)\s*(권한|모드).{0,10}(활성|전환)",
+    r"(관리자|admin)\s*(권한|모드).{0,10}(활성|전환)",
 )
 #: Words that open an SQL statement; week days from Monday.
 SQL_OPENERS = ("select", "insert", "update", "delete", "with", "create")
 WEEKDAYS = "월화수목금토일"
 #: Patterns of sums, dates, week day claims, code blocks, quotes and titles.
 NUMBER = r"\d[\d,]*(?:\.\d+)?"
-EQUATION = rf"(?<![\w.])({NUMBER}(?:\s*[-+*/×÷]\s*{NUMBER})+)\s*=\s*({NUMBER})(?![\d.])"
+EQUATION = rf"(?U)(?<![\w.])({NUMBER}(?:\s*[-+*/×÷]\s*{NUMBER})+)\s*=\s*({NUMBER})(?![\d.])"
 CLAIM = r"(?:[\s은는이가]*(?:요일은\s*)?([월화수목금토일])요일)?"
 DATE_ISO = rf"(\d{{4}})[-/](\d{{1,2}})[-/](\d{{1,2}}){CLAIM}"
 DATE_KO = rf"(?:(\d{{4}})\s*년\s*)?(\d{{1,2}})\s*월\s*(\d{{1,2}})\s*일{CLAIM}"
 CODE_BLOCK = r"(?s)```(\w+)?\s*\n(.*?)```"
 QUOTES = (r"[“\"]([^”\"]{10,200})[”\"]", r"‘([^’‘]{10,200})’", r"(?<![A-Za-z0-9])'([^']{10,200})'(?![A-Za-z0-9])")
 TITLES = r"[「『《〈]([^」』》〉\n]{2,60})[」』》〉]"
+#: The source that heads a passage; shortest normalised title.
+HEADER = r"\A\s*[\[\(「『《【]([^\]\)」』》】\n]{1,80})[\]\)」』》】]"
+SHORTEST_TITLE = 2
+#: Kinds of a requested format and of a requested length; `none` stands for no request.
+FORMAT_KINDS = ("none", "numbered_list", "bullet_list", "table", "code_block", "json", "prose")
+LENGTH_KINDS = ("none", "max_chars", "max_sentences", "max_lines", "vague_short")
 #: Share of a quote that must stand unbroken in a passage, in tenths; shortest normalised quote.
 TENTHS, SHORTEST_QUOTE = 9, 10
 
@@ -56,7 +62,7 @@ def _text(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(_text(text), F.lit(rf"\A{BLANK}+|{BLANK}+\z"), F.lit(""))
+    return F.btrim(_text(text), F.lit(BLANK_CHARS))
 
 
 def squeeze(text: Column) -> Column:
@@ -67,75 +73,127 @@ def _some(items: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, items)
 
 
+def script_profile(text: Column) -> Column:
+    """struct of the shares of hangul, latin, kana and han among their characters; all 0 where there is none."""
+    letters = "".join(chr(ord(first) + i) for first in "Aa" for i in range(26))
+
+    def counted(x: Column) -> Column:
+        wide = F.octet_length(x) > F.length(x)  # a text in ASCII holds none of the other scripts
+        others = {name: F.when(wide, F.regexp_count(x, F.lit(SCRIPTS[name]))).otherwise(0) for name in ("hangul", "kana", "han")}
+        n = others | {"latin": F.length(x) - F.length(F.translate(x, letters, ""))}
+        return F.struct(*[n[name].alias(name) for name in SCRIPTS])
+
+    total = lambda n: F.greatest(n["hangul"] + n["latin"] + n["kana"] + n["han"], F.lit(1))
+    shares = lambda n: let(total(n), lambda t: F.struct(*[(n[name] / t).alias(name) for name in SCRIPTS]))
+    return let(let(_text(text), counted), shares)
+
+
 def detect_language(text: Column) -> Column:
     """ko, ja, zh, en or unknown by the shares of four scripts among their characters."""
-    n = {name: F.regexp_count(_text(text), F.lit(x)) for name, x in SCRIPTS.items()}
-    total = n["hangul"] + n["latin"] + n["kana"] + n["han"]
-    share = lambda name: n[name] / F.greatest(total, F.lit(1))
-    return F.when(share("hangul") >= 0.10, "ko").when(share("kana") > 0.05, "ja").when(share("han") > 0.3, "zh").when(share("latin") > 0.5, "en").otherwise("unknown")
+    named = lambda x: F.when(x["hangul"] >= 0.10, "ko").when(x["kana"] > 0.05, "ja").when(x["han"] > 0.3, "zh").when(x["latin"] > 0.5, "en").otherwise("unknown")
+    return let(script_profile(text), named)
+
+
+def language_check(text: Column, wanted: Column) -> Column:
+    judged = lambda found: finding(F.when(F.coalesce(wanted, F.lit("")) == "", "na").when(found == "unknown", "undetermined").when(found == wanted, "ok").otherwise("violated"), found, F.array(found))
+    return let(detect_language(text), judged)
 
 
 def language(text: Column, wanted: Column) -> Column:
-    found = detect_language(text)
-    return F.when(F.coalesce(wanted, F.lit("")) == "", "na").when(found == "unknown", "undetermined").when(found == wanted, "ok").otherwise("violated")
+    return language_check(text, wanted)["verdict"]
 
 
 def measures(text: Column) -> Column:
     """struct of chars, sentences and lines; lengths are measured, never judged."""
-    whole = strip(text)
-    filled = lambda parts: F.size(F.filter(parts, lambda x: squeeze(x) != "")).cast("long")
-    sentences = F.split(whole, rf"(?<=[.!?。]){BLANK}+")
-    lines = F.split(whole, r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]")
-    return F.struct(F.length(whole).cast("long").alias("chars"), filled(sentences).alias("sentences"), filled(lines).alias("lines"))
+    filled = lambda parts: F.size(F.filter(parts, lambda x: x.rlike(f"{BLANK[:1]}^{BLANK[1:]}"))).cast("long")
+    sentences = lambda whole: F.split(whole, rf"(?<=[.!?。]){BLANK}+")
+    lines = lambda whole: F.split(whole, r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]")
+    return let(strip(text), lambda w: F.struct(F.length(w).cast("long").alias("chars"), filled(sentences(w)).alias("sentences"), filled(lines(w)).alias("lines")))
+
+
+def length_check(text: Column, kind: Column) -> Column:
+    """na without a request; with any the text is measured and never judged: undetermined."""
+    asked = ~F.coalesce(kind, F.lit("none")).isin("", "none")
+    said = lambda m: F.concat_ws(" ", m["chars"].cast("string"), F.lit("characters,"), m["sentences"].cast("string"), F.lit("sentences,"), m["lines"].cast("string"), F.lit("lines"))
+    return finding(F.when(asked, "undetermined").otherwise("na"), F.when(asked, let(measures(text), said)))
+
+
+def strip_fence(text: Column) -> Column:
+    """The text without a fence around it."""
+    return F.regexp_replace(F.regexp_replace(strip(text), r"\A```\w*\s*", ""), r"\s*```\z", "")
 
 
 def has_format(text: Column, kind: Column) -> Column:
-    n = {name: F.regexp_count(_text(text), F.lit(f"(?md){x}")) for name, x in FORMATS.items()}
-    bare = F.regexp_replace(F.regexp_replace(strip(text), r"\A```\w*\s*", ""), r"\s*```\z", "")
+    count = lambda name: F.regexp_count(_text(text), F.lit(f"(?md){FORMATS[name]}"))
+    json_ = let(strip_fence(text), lambda bare: (bare != "") & F.try_parse_json(bare).isNotNull())
     return (
-        F.when(kind == "numbered", n["numbered"] >= 2)
-        .when(kind == "bullet", n["bullet"] >= 2)
-        .when(kind == "table", (n["row"] >= 2) & (n["rule"] >= 1))
-        .when(kind == "code", n["fence"] >= 2)
-        .when(kind == "json", (bare != "") & F.try_parse_json(bare).isNotNull())
-        .when(kind == "prose", (n["numbered"] == 0) & (n["bullet"] == 0))
+        F.when(kind == "numbered_list", count("numbered") >= 2)
+        .when(kind == "bullet_list", count("bullet") >= 2)
+        .when(kind == "table", (count("row") >= 2) & (count("rule") >= 1))
+        .when(kind == "code_block", count("fence") >= 2)
+        .when(kind == "json", json_)
+        .when(kind == "prose", (count("numbered") == 0) & (count("bullet") == 0))
         .otherwise(False)
     )
 
 
+def format_check(text: Column, kind: Column) -> Column:
+    asked = ~F.coalesce(kind, F.lit("none")).isin("", "none")
+    return finding(F.when(~asked, "na").when(has_format(text, kind), "ok").otherwise("violated"), F.when(asked, kind))
+
+
 def format_kept(text: Column, kind: Column) -> Column:
-    return F.when(F.coalesce(kind, F.lit("")) == "", "na").when(has_format(text, kind), "ok").otherwise("violated")
+    return format_check(text, kind)["verdict"]
+
+
+def service_error_check(text: Column) -> Column:
+    def judged(bare: Column) -> Column:
+        signs = F.filter(F.array(*[F.lit(x) for x in OUTAGE_SIGNS]), lambda x: F.contains(bare, F.replace(x, F.lit(" "), F.lit(""))))
+        whole = _some([F.contains(bare, F.lit(x.replace(" ", ""))) for x in OUTAGE])
+        verdict = F.when(bare == "", "na").when(whole, "violated").when(F.length(bare) > OUTAGE_CHARS, "ok").when(F.size(signs) >= 2, "violated").otherwise("ok")
+        return finding(verdict, "signs of an outage message", signs)
+
+    return let(squeeze(text), judged)
 
 
 def service_error(text: Column) -> Column:
-    bare = squeeze(text)
-    at = lambda x: F.contains(bare, F.lit(x.replace(" ", "")))
-    signs = reduce(lambda a, b: a + b, [at(x).cast("int") for x in OUTAGE_SIGNS])
-    return F.when(bare == "", "na").when(_some([at(x) for x in OUTAGE]), "violated").when(F.length(bare) > OUTAGE_CHARS, "ok").when(signs >= 2, "violated").otherwise("ok")
+    return service_error_check(text)["verdict"]
 
 
 def evaluate(expression: Column) -> Column:
     """The value of a chain of + - * / with the usual precedence; null for a division by zero or a number like 007."""
-    plain = F.translate(expression, "×÷, \t\n", "*/")
 
-    def product(term: Column) -> Column:
-        factors = F.arrays_zip(
-            F.regexp_extract_all(term, F.lit(r"([*/]?)([0-9.]+)"), F.lit(1)).alias("op"),
-            F.regexp_extract_all(term, F.lit(r"([*/]?)([0-9.]+)"), F.lit(2)).alias("x"),
-        )
-        step = lambda acc, f: F.when(f["op"] == "/", F.try_divide(acc, f["x"].cast("double"))).otherwise(acc * f["x"].cast("double"))
-        return F.when(term.startswith("-"), -1.0).otherwise(1.0) * F.aggregate(factors, F.lit(1.0), step)
+    def step(acc: Column, f: Column) -> Column:
+        start = f["op"].isin("+", "-")
+        product = F.when(f["op"] == "*", acc["p"] * f["x"]).when(f["op"] == "/", F.try_divide(acc["p"], f["x"])).when(f["op"] == "-", -f["x"]).otherwise(f["x"])
+        return F.struct(F.when(start, acc["s"] + acc["p"]).otherwise(acc["s"]).alias("s"), product.alias("p"))
 
-    terms = F.regexp_extract_all(plain, F.lit(r"([+-]?[0-9.*/]+)"), F.lit(1))
-    odd = plain.rlike(r"(?:^|[-+*/])0+[1-9][0-9]*(?:$|[-+*/])")
-    return F.when(~odd, F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + product(t)))
+    def value(plain: Column) -> Column:
+        signs = F.translate(plain, "0123456789.", "")
+        parts = F.split(F.translate(plain, "+-*/", "    "), " ")
+        pairs = F.transform(parts, lambda x, i: F.struct(F.when(i == 0, "+").otherwise(F.substring(signs, i, F.lit(1))).alias("op"), x.try_cast("double").alias("x")))
+        whole = F.aggregate(pairs, F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("p")), step, lambda acc: acc["s"] + acc["p"])
+        return F.when(plain.rlike(r"^[-+*/0-9.]+$") & ~plain.rlike(r"(?:^|[-+*/])0+[1-9][0-9]*(?:$|[-+*/])"), whole)
 
+    return let(F.translate(expression, "×÷, \t", "*/"), value)
 
-def arithmetic(text: Column) -> Column:
+
+def arithmetic_check(text: Column) -> Column:
     """violated where a sum differs from its recomputation by more than 0.01; sums that cannot be computed pass."""
-    take = lambda i: F.regexp_extract_all(_text(text), F.lit(EQUATION), F.lit(i))
-    wrong = lambda left, right: F.coalesce(F.abs(evaluate(left) - F.replace(right, F.lit(","), F.lit("")).cast("double")) > 0.01, F.lit(False))
-    return F.when(F.size(take(1)) == 0, "na").when(F.exists(F.zip_with(take(1), take(2), wrong), lambda x: x), "violated").otherwise("ok")
+    number = lambda x: F.translate(x, ",", "").try_cast("double")
+
+    def judged(sums: Column) -> Column:
+        cut = F.transform(sums, lambda x: F.struct(x.alias("sum"), F.trim(F.substring_index(x, "=", 1)).alias("left"), F.trim(F.substring_index(x, "=", -1)).alias("right")))
+        wrong = F.filter(cut, lambda x: F.coalesce(F.abs(evaluate(x["left"]) - number(x["right"])) > 0.01, F.lit(False)))
+        verdict = lambda w: F.when(F.size(sums) == 0, "na").when(F.size(w) > 0, "violated").otherwise("ok")
+        return let(wrong, lambda w: finding(verdict(w), F.concat(F.size(sums).cast("string"), F.lit(" sums")), F.transform(w, lambda x: x["sum"])))
+
+    # a text without the sign has no sum, and most texts have none
+    return let(F.when(F.contains(_text(text), F.lit("=")), F.regexp_extract_all(_text(text), F.lit(EQUATION), F.lit(0))).otherwise(F.array().cast("array<string>")), judged)
+
+
+def arithmetic(text: Column) -> Column:
+    return arithmetic_check(text)["verdict"]
 
 
 def _date_verdict(y: Column, m: Column, d: Column, claim: Column) -> Column:
@@ -157,37 +215,64 @@ def _date_verdict(y: Column, m: Column, d: Column, claim: Column) -> Column:
     )
 
 
-def dates(text: Column) -> Column:
+def dates_found(text: Column) -> Column:
+    """array of struct<date, y, m, d, claim> of all dates, first those in figures only. y and claim may be empty."""
+
+    def one(pattern: str) -> Column:
+        cut = lambda x, i: F.regexp_extract(x, pattern, i)
+        found = F.regexp_extract_all(_text(text), F.lit(pattern), F.lit(0))
+        return F.transform(found, lambda x: F.struct(x.alias("date"), *[cut(x, i).alias(n) for i, n in enumerate(("y", "m", "d", "claim"), 1)]))
+
+    return F.concat(one(DATE_ISO), one(DATE_KO))
+
+
+def dates_check(text: Column) -> Column:
     """Impossible dates and wrong week day claims right behind a date."""
+    verdicts = F.transform(dates_found(text), lambda x: F.struct(x["date"].alias("date"), _date_verdict(x["y"], x["m"], x["d"], x["claim"]).alias("verdict")))
+
+    def judged(all_: Column) -> Column:
+        of = lambda v: F.filter(all_, lambda x: x["verdict"] == v)
+        verdict = F.when(F.size(all_) == 0, "na").when(F.size(of("violated")) > 0, "violated").when(F.size(of("undetermined")) > 0, "undetermined").otherwise("ok")
+        return finding(verdict, F.concat(F.size(all_).cast("string"), F.lit(" dates")), F.transform(of("violated"), lambda x: x["date"]))
 
-    def found(pattern: str) -> Column:
-        y, m, d, c = (F.regexp_extract_all(_text(text), F.lit(pattern), F.lit(i)).alias(n) for i, n in enumerate("ymdc", 1))
-        return F.transform(F.arrays_zip(y, m, d, c), lambda x: _date_verdict(x["y"], x["m"], x["d"], x["c"]))
+    return let(verdicts, judged)
 
-    all_ = F.concat(found(DATE_ISO), found(DATE_KO))
-    return F.when(F.size(all_) == 0, "na").when(F.array_contains(all_, "violated"), "violated").when(F.array_contains(all_, "undetermined"), "undetermined").otherwise("ok")
+
+def dates(text: Column) -> Column:
+    return dates_check(text)["verdict"]
 
 
 def code_blocks(text: Column) -> Column:
     """array of struct<lang, body>, lang in lower case and empty where the fence names none."""
-    take = lambda i: F.regexp_extract_all(_text(text), F.lit(CODE_BLOCK), F.lit(i))
-    return F.zip_with(take(1), take(2), lambda a, b: F.struct(F.lower(a).alias("lang"), b.alias("body")))
+    cut = lambda x, i: F.regexp_extract(x, CODE_BLOCK, i)
+    return F.transform(F.regexp_extract_all(_text(text), F.lit(CODE_BLOCK), F.lit(0)), lambda x: F.struct(F.lower(cut(x, 1)).alias("lang"), cut(x, 2).alias("body")))
 
 
-def sql_shape(text: Column) -> Column:
+def sql_shape_check(text: Column) -> Column:
     """Blocks of SQL: opening word, balanced parentheses, no dangling GROUP/ORDER BY, FROM after SELECT.
 
     FROM may stand on a line of its own.
     """
-    blocks = F.filter(code_blocks(text), lambda b: b["lang"].isin("sql", "postgresql", "mysql"))
 
-    def bad(b: Column) -> Column:
-        body = F.lower(F.regexp_replace(strip(b["body"]), r";\s*\z", ""))
+    def problem(body: Column) -> Column:
         count = lambda sign: F.length(body) - F.length(F.replace(body, F.lit(sign), F.lit("")))
         opens = _some([body.startswith(x) for x in SQL_OPENERS])
-        return ~opens | (count("(") != count(")")) | body.rlike(r"(?:group|order)\s+by\s*\z") | (body.startswith("select") & ~body.rlike(r"\sfrom\s"))
+        return (
+            F.when(~opens, "no opening word")
+            .when(count("(") != count(")"), "parentheses")
+            .when(body.rlike(r"(?:group|order)\s+by\s*\z"), "open ending")
+            .when(body.startswith("select") & ~body.rlike(r"\sfrom\s"), "no from")
+        )
+
+    def judged(blocks: Column) -> Column:
+        problems = F.array_compact(F.transform(blocks, lambda b: let(F.lower(F.regexp_replace(strip(b["body"]), r";\s*\z", "")), problem)))
+        return let(problems, lambda p: finding(F.when(F.size(blocks) == 0, "na").when(F.size(p) > 0, "violated").otherwise("ok"), F.concat(F.size(blocks).cast("string"), F.lit(" blocks")), p))
 
-    return F.when(F.size(blocks) == 0, "na").when(F.exists(blocks, bad), "violated").otherwise("ok")
+    return let(F.filter(code_blocks(text), lambda b: b["lang"].isin("sql", "postgresql", "mysql")), judged)
+
+
+def sql_shape(text: Column) -> Column:
+    return sql_shape_check(text)["verdict"]
 
 
 @F.pandas_udf(StringType())
@@ -204,11 +289,20 @@ def _python_verdict(bodies: pd.Series) -> pd.Series:
     return pd.Series(["na" if x is None or len(x) == 0 else "ok" if all(map(parses, x)) else "violated" for x in bodies], dtype=object)
 
 
+def python_syntax_check(text: Column) -> Column:
+    return let(python_syntax(text), lambda v: finding(v, "code that does not parse"))
+
+
 def python_syntax(text: Column) -> Column:
     blocks = F.filter(code_blocks(text), lambda b: b["lang"].isin("python", "py", ""))
     return _python_verdict(F.transform(blocks, lambda b: b["body"]))
 
 
+def nfkc(text: Column) -> Column:
+    """The text in NFKC. Texts in ASCII are so already and do not go to Python."""
+    return F.when(F.length(_text(text)) == F.octet_length(_text(text)), _text(text)).otherwise(_nfkc(text))
+
+
 @F.pandas_udf(StringType())
 def _nfkc(texts: pd.Series) -> pd.Series:
     return pd.Series([x if x.isascii() else unicodedata.normalize("NFKC", x) for x in texts.fillna("")], dtype=object)
@@ -216,22 +310,46 @@ def _nfkc(texts: pd.Series) -> pd.Series:
 
 def normalised(text: Column) -> Column:
     """NFKC, without white space, lower case: the form in which texts are compared."""
-    return F.lower(squeeze(_nfkc(text)))
+    return F.lower(squeeze(nfkc(text)))
 
 
-def injection(passages: Column, answer: Column) -> Column:
+def injection_check(passages: Column, answer: Column) -> Column:
     """na without a planted instruction; violated if the answer repeats the start of one, else undetermined: never ok.
 
     White space and case are folded; pass NFKC texts where full-width letters matter.
     """
-    hits = F.flatten(F.transform(passages, lambda c: F.filter(F.array(*[F.regexp_extract(_text(c), x, 0) for x in INJECTION]), lambda h: h != "")))
-    plain = F.lower(squeeze(answer))
-    return F.when(F.size(hits) == 0, "na").when(F.exists(hits, lambda h: F.contains(plain, F.substring(F.lower(squeeze(h)), 1, 20))), "violated").otherwise("undetermined")
+    hits = F.flatten(F.transform(F.coalesce(passages, F.array().cast("array<string>")), lambda c: F.filter(F.array(*[F.regexp_extract(_text(c), x, 0) for x in INJECTION]), lambda h: h != "")))
+    repeated = lambda found, plain: F.filter(found, lambda h: F.contains(plain, F.substring(F.lower(squeeze(h)), 1, 20)))
+
+    def judged(found: Column) -> Column:
+        again = F.when(F.size(found) > 0, let(F.lower(squeeze(answer)), lambda plain: repeated(found, plain))).otherwise(found)
+        return let(again, lambda r: finding(F.when(F.size(found) == 0, "na").when(F.size(r) > 0, "violated").otherwise("undetermined"), F.concat(F.size(found).cast("string"), F.lit(" instructions")), r, 3))
+
+    return let(hits, judged)
+
+
+def injection(passages: Column, answer: Column) -> Column:
+    return injection_check(passages, answer)["verdict"]
+
+
+def _folded(text: Column) -> Column:
+    return F.lower(squeeze(text))
 
 
 def quotes(text: Column) -> Column:
+    """Sentences in quotation marks, trimmed."""
     found = F.concat(*[F.regexp_extract_all(_text(text), F.lit(x), F.lit(1)) for x in QUOTES])
-    return F.filter(found, lambda q: F.length(squeeze(q)) >= SHORTEST_QUOTE)
+    return F.filter(F.transform(found, strip), lambda q: F.length(squeeze(q)) >= SHORTEST_QUOTE)
+
+
+def titles(text: Column) -> Column:
+    """Names of documents in title marks, trimmed."""
+    return F.filter(F.transform(F.regexp_extract_all(_text(text), F.lit(TITLES), F.lit(1)), strip), lambda t: F.length(squeeze(t)) >= SHORTEST_TITLE)
+
+
+def headers(passages: Column) -> Column:
+    """The sources that head passages; passages without one give none."""
+    return F.filter(F.transform(passages, lambda c: strip(F.regexp_extract(_text(c), HEADER, 1))), lambda h: h != "")
 
 
 def stands_in(quote: Column, passage: Column) -> Column:
@@ -239,16 +357,59 @@ def stands_in(quote: Column, passage: Column) -> Column:
 
     Every window of that length covers the quote's middle, so a passage without the middle is out after one search.
     """
+
+    def judged(x: Column) -> Column:
+        n, k = x["n"], x["k"]
+        windows = F.exists(F.sequence(F.lit(1), n - k + 1), lambda i: F.contains(passage, F.substring(quote, i, k)))
+        return (n > 0) & F.contains(passage, F.substring(quote, n - k + 1, 2 * k - n)) & (F.contains(passage, quote) | windows)
+
     n = F.length(quote)
-    k = F.floor((TENTHS * n + 9) / 10).cast("int")
-    middle = F.substring(quote, n - k + 1, 2 * k - n)
-    windows = F.exists(F.sequence(F.lit(1), n - k + 1), lambda i: F.contains(passage, F.substring(quote, i, k)))
-    return (n > 0) & F.contains(passage, middle) & (F.contains(passage, quote) | windows)
+    return let(F.struct(n.alias("n"), F.floor((TENTHS * n + 9) / 10).cast("int").alias("k")), judged)
+
+
+def quoted_check(answer: Column, passages: Column) -> Column:
+    """Quoted sentences that stand in no passage, and named documents that no passage's header names, are wrong.
+
+    Titles are only looked up where a passage has a header. An answer that quotes without any passage is wrong as a
+    whole. Pass NFKC texts where full-width letters matter.
+    """
+    none = F.array().cast("array<string>")
+
+    def judged(x: Column) -> Column:
+        lost = F.filter(x["quotes"], lambda q: let(_folded(q), lambda f: ~F.exists(x["bodies"], lambda c: stands_in(f, c))))
+        unknown = F.when(F.size(x["headers"]) > 0, F.filter(x["titles"], lambda t: let(_folded(t), lambda f: ~F.exists(x["headers"], lambda h: F.contains(h, f))))).otherwise(none)
+        all_ = F.concat(x["quotes"], x["titles"])
+        wrong = F.when(F.size(x["bodies"]) == 0, all_).otherwise(F.concat(lost, unknown))
+        return let(wrong, lambda w: finding(F.when(F.size(all_) == 0, "na").when(F.size(w) > 0, "violated").otherwise("ok"), F.concat(F.size(all_).cast("string"), F.lit(" quotes and titles")), w))
+
+    given = F.coalesce(passages, none)
+    found = F.struct(quotes(answer).alias("quotes"), titles(answer).alias("titles"))
+    folded = lambda x, wanted: F.when(wanted, F.transform(x, _folded)).otherwise(none)
+    whole = lambda f: F.struct(
+        f["quotes"].alias("quotes"), f["titles"].alias("titles"),
+        F.when(F.size(f["quotes"]) + F.size(f["titles"]) > 0, F.transform(given, _folded)).otherwise(none).alias("bodies"),
+        folded(headers(given), F.size(f["titles"]) > 0).alias("headers"),
+    )
+    return let(found, lambda f: let(whole(f), judged))
 
 
 def quoted(answer: Column, passages: Column) -> Column:
-    """Quotes that stand in no passage are wrong; an answer that quotes without any passage is wrong as a whole."""
-    found = quotes(answer)
-    fold = lambda x: F.lower(squeeze(x))
-    wrong = F.exists(found, lambda q: ~F.exists(passages, lambda c: stands_in(fold(q), fold(c))))
-    return F.when(F.size(found) == 0, "na").when(F.coalesce(F.size(passages), F.lit(0)) <= 0, "violated").when(wrong, "violated").otherwise("ok")
+    return quoted_check(answer, passages)["verdict"]
+
+
+def run_all(answer: Column, question: Column, passages: Column, wanted_language: Column, wanted_format: Column, wanted_length: Column) -> dict[str, Column]:
+    """All checks as structs of verdict, detail and evidence. Personal data is looked for in the user's question."""
+    return {
+        "pii": pii_check(question),
+        "service_error": service_error_check(answer),
+        "truncated": truncated_check(answer),
+        "quoted_spans": quoted_check(answer, passages),
+        "python_syntax": python_syntax_check(answer),
+        "sql_shape": sql_shape_check(answer),
+        "arithmetic": arithmetic_check(answer),
+        "dates": dates_check(answer),
+        "injection": injection_check(passages, answer),
+        "language": language_check(answer, wanted_language),
+        "format": format_check(answer, wanted_format),
+        "length": length_check(answer, wanted_length),
+    }

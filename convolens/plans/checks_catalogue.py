@@ -19,8 +19,7 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def lang_check(spark, sf_dir):
-    detected, verdict = checks.detect_language(F.col("text")), checks.language(F.col("text"), F.col("lang"))
-    return _t(spark, sf_dir, "documents").select("doc_id", detected.alias("detected"), verdict.alias("verdict"))
+    return _t(spark, sf_dir, "documents").select("doc_id", checks.language_check(F.col("text"), F.col("lang")).alias("c")).select("doc_id", F.col("c.detail").alias("detected"), "c.verdict")
 
 
 def text_measure(spark, sf_dir):
@@ -28,7 +27,7 @@ def text_measure(spark, sf_dir):
 
 
 #: Texts that queries plant before the documents: kind, text that keeps it.
-_PLANTED = ("numbered", "1. a\n2) b\n"), ("bullet", "- a\n* b\n"), ("table", "| a |\n|---|\n| b |\n"), ("code", "```\nx\n```\n")
+_PLANTED = ("numbered_list", "1. a\n2) b\n"), ("bullet_list", "- a\n* b\n"), ("table", "| a |\n|---|\n| b |\n"), ("code_block", "```\nx\n```\n")
 
 
 def format_check(spark, sf_dir):
@@ -79,7 +78,7 @@ def quote_check(spark, sf_dir):
     quote = F.substring(F.translate(F.coalesce("text", F.lit("")), "\"“”‘’'", ""), 11, 60)
     quote = F.when(F.col("doc_id") % 3 == 1, F.concat(quote, F.lit("#"))).when(F.col("doc_id") % 3 == 2, F.concat(F.lit("0123456789"), quote)).otherwise(quote)
     passage = F.translate(F.coalesce("text", F.lit("")), "\"“”‘’'", "")
-    rows = _t(spark, sf_dir, "documents").where(F.length("text") >= 70).select("doc_id", F.concat(F.lit('it says "'), quote, F.lit('"')).alias("a"), passage.alias("p"))
+    rows = _t(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit('it says "'), quote, F.lit('"')).alias("a"), passage.alias("p"))
     return rows.select("doc_id", checks.quoted(F.col("a"), F.array("p")).alias("verdict"))
 
 
@@ -125,7 +124,7 @@ def log_roundtrip(spark, sf_dir):
 
 def _tree(spark, sf_dir):
     nation, region = _t(spark, sf_dir, "nation"), _t(spark, sf_dir, "region")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).where("n_nationkey % 6 <> 0").select(F.col("n_nationkey").alias("item"), F.col("n_name").alias("middle"), F.col("r_name").alias("major"))
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(F.col("n_nationkey").alias("item"), F.col("n_name").alias("middle"), F.col("r_name").alias("major"))
 
 
 def org_rollup(spark, sf_dir):
@@ -200,7 +199,7 @@ _STRIP = rf"regexp_replace(coalesce(text, ''), '\A{BLANK}+|{BLANK}+\z', '', 'g')
 _COUNT = "len(regexp_extract_all(coalesce(text, ''), '{}'))"
 _BARE = rf"regexp_replace(x, '{BLANK}+', '', 'g')"
 _PLANTS = " ".join(f"WHEN {i} THEN '{text}'" for i, (_, text) in enumerate(_PLANTED))
-_TREE = "(SELECT n_nationkey AS item, n_name AS middle, r_name AS major FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 6 <> 0)"
+_TREE = "(SELECT n_nationkey AS item, n_name AS middle, r_name AS major FROM nation JOIN region ON n_regionkey = r_regionkey)"
 _FOLDED = rf"lower(regexp_replace(COLUMN, '{BLANK}+', '', 'g'))"
 _PLAIN = "translate(coalesce(text, ''), '\"“”‘’''', '')"
 
@@ -218,10 +217,10 @@ ORACLE_SQL = {
         FROM (SELECT doc_id, {_STRIP} AS t FROM documents)
     """,
     "format_check": f"""
-        SELECT doc_id, kind, CASE WHEN CASE kind WHEN 'numbered' THEN n >= 2 WHEN 'bullet' THEN b >= 2 WHEN 'table' THEN r >= 2 AND s >= 1 WHEN 'code' THEN f >= 2 ELSE n = 0 AND b = 0 END
+        SELECT doc_id, kind, CASE WHEN CASE kind WHEN 'numbered_list' THEN n >= 2 WHEN 'bullet_list' THEN b >= 2 WHEN 'table' THEN r >= 2 AND s >= 1 WHEN 'code_block' THEN f >= 2 ELSE n = 0 AND b = 0 END
             THEN 'ok' ELSE 'violated' END AS verdict
         FROM (SELECT doc_id, kind, {", ".join(f"{_COUNT.format('(?m)' + x)} AS {n}" for n, x in zip("nbrsf", checks.FORMATS.values(), strict=True))} FROM (
-            SELECT doc_id, ['numbered', 'bullet', 'table', 'code', 'prose'][doc_id % 5 + 1] AS kind, CASE doc_id % 10 {_PLANTS} ELSE '' END || coalesce(text, '') AS text FROM documents))
+            SELECT doc_id, ['numbered_list', 'bullet_list', 'table', 'code_block', 'prose'][doc_id % 5 + 1] AS kind, CASE doc_id % 10 {_PLANTS} ELSE '' END || coalesce(text, '') AS text FROM documents))
     """,
     "service_error_check": f"""
         SELECT conv_id, turn, CASE WHEN x = '' THEN 'na' WHEN contains(x, '{checks.OUTAGE[0].replace(" ", "")}') THEN 'violated' WHEN length(x) > 400 THEN 'ok'
@@ -241,7 +240,7 @@ ORACLE_SQL = {
     """,
     "quote_check": f"""
         WITH q AS (SELECT doc_id, {_FOLDED.replace("COLUMN", "p")} AS p, {_FOLDED.replace("COLUMN", "q")} AS q FROM (SELECT doc_id, {_PLAIN} AS p,
-            CASE WHEN doc_id % 3 = 2 THEN '0123456789' ELSE '' END || substr({_PLAIN}, 11, 60) || CASE WHEN doc_id % 3 = 1 THEN '#' ELSE '' END AS q FROM documents WHERE length(text) >= 70)),
+            CASE WHEN doc_id % 3 = 2 THEN '0123456789' ELSE '' END || substr({_PLAIN}, 11, 60) || CASE WHEN doc_id % 3 = 1 THEN '#' ELSE '' END AS q FROM documents)),
         k AS (SELECT *, length(q) AS n, ((9 * length(q) + 9) // 10)::BIGINT AS k FROM q)
         SELECT doc_id, CASE WHEN n < 10 THEN 'na' WHEN len(list_filter(range(1, n - k + 2), lambda i: contains(p, substr(q, i, k)))) > 0 THEN 'ok' ELSE 'violated' END AS verdict FROM k
     """,

@@ -33,16 +33,21 @@ def _is(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(False))
 
 
+def _not(name: str) -> Column:
+    """Whether the flag is known to be false."""
+    return F.coalesce(~F.col(name), F.lit(False))
+
+
 def _broken(name: str) -> Column:
     return F.coalesce(F.col(name) == "violated", F.lit(False))
 
 
 def _domain() -> Column:
     """Cases of a complaint about what the passages should have told."""
-    lacking = F.col("verdict").isin("insufficient", "partial") | (F.col("n_kept") == 0)
+    lacking = F.col("verdict").isin("insufficient", "partial") | (F.coalesce(F.col("n_kept"), F.lit(0)) == 0)
     return (
         F.when(F.col("verdict").isNull(), UNCLASSIFIED)
-        .when(lacking, F.when(F.col("n_chunks") == 0, "case21").otherwise("case20"))
+        .when(lacking, F.when(F.coalesce(F.col("n_chunks"), F.lit(-1)) == 0, "case21").otherwise("case20"))
         .when(F.col("grounding").isNull(), "case20")
         .when(F.col("grounding") == "ignored", "case22")
         .when(F.col("grounding") == "contradicted", "case18")
@@ -62,7 +67,7 @@ def _rules() -> list[tuple[Column, Column | str]]:
         ((target == "none") & (_is("complaint_unverified") | any_broken), UNCLASSIFIED),
         (target == "none", "case0"),
         (_is("unsupported_output"), "case2"),
-        (~_is("answerable"), "case1"),
+        (_not("answerable"), "case1"),
         (_broken("truncated"), "case8"),
         (target == "no_answer", UNCLASSIFIED),
         (target.isin(*REQUESTS), request),
@@ -101,7 +106,7 @@ def secondary(case: Column) -> Column:
     target, domain = F.col("target"), F.col("domain")
     other = lambda t: _broken(t) & F.coalesce(target != t, F.lit(True))
     found = [
-        (~_is("self_contained"), "case4"), (_is("multi_intent"), "case3"), (_broken("pii"), "case6"), (_broken("quoted_spans"), "case24"),
+        (_not("self_contained"), "case4"), (_is("multi_intent"), "case3"), (_broken("pii"), "case6"), (_broken("quoted_spans"), "case24"),
         (_broken("arithmetic") | _broken("dates"), "case26"), (_is("history_ignored"), "case14"), (_is("multi_intent") & ~_is("multi_covered"), "case15"),
         (other("format"), "case12"), (other("language"), "case10"), (other("length"), "case11"),
         ((_broken("python_syntax") | _broken("sql_shape")) & ~F.coalesce(domain.isin("code", "tool_usage"), F.lit(False)), "case27"),

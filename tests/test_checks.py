@@ -67,7 +67,7 @@ def test_languages_and_full_width(spark):
 
 def test_labels(spark):
     names = {"A": "Very good", "B": "Bad"}
-    assert [value(spark, lambda c: labels.resolve(c, names), t) for t in ("A. x", "b", " VERY  good", "C) bad", "", None)] == ["A", "B", "A", None, None, None]
+    assert [value(spark, lambda c: labels.resolve(c, names), t) for t in ("A. x", "b", " VERY  good", "C) bad", "", None)] == ["A", "B", "A", "B", None, None]
 
 
 def test_log_absorbs_dirty_values(spark):
