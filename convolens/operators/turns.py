@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from convolens.operators.cases import with_history
+
 
 def _before():
     """All strictly earlier turns; RANGE leaves out rows that repeat a turn number."""
@@ -21,11 +23,8 @@ def pairs(turns: DataFrame) -> DataFrame:
 
 def history(turns: DataFrame, k: int = 3) -> DataFrame:
     """User turns with their last k non-empty earlier questions, oldest first; k <= 0 gives all."""
-    asked = F.when((F.col("role") == "user") & (F.col("text") != ""), F.struct("turn", "text"))
-    rows = turns.withColumn("earlier", F.transform(F.array_sort(F.collect_list(asked).over(_before())), lambda x: x["text"]))
-    if k > 0:
-        rows = rows.withColumn("earlier", F.when(F.size("earlier") > k, F.slice("earlier", -k, k)).otherwise(F.col("earlier")))
-    return rows.where("role = 'user'").select("conv_id", "turn", "text", "earlier")
+    asked = F.when(F.col("role") == "user", F.col("text"))
+    return with_history(turns, asked, k, ("conv_id",), "turn", "text", "earlier").where("role = 'user'").select("conv_id", "turn", "text", "earlier")
 
 
 def in_ranges(turns: DataFrame, ranges: list[tuple[int, int | None]]) -> DataFrame:

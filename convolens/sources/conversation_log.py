@@ -1,6 +1,8 @@
 """Nested conversation logs (users, their conversations, turns) flattened to one normalised row per turn.
 
-Fields are read as strings and normalised with Catalyst expressions, so dirty values end as null instead of failing the scan.
+Dirty fields are read as variants, so a JSON string, number and boolean stay apart, and are normalised with Catalyst
+expressions: a bad value ends as null and never fails the scan. A log is one JSON document; `read` takes files of one
+log each, or of one log or user per line, which is the form to use where a file would not fit a task.
 """
 
 from __future__ import annotations
@@ -9,72 +11,160 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convolens.functions.answer_checks import squeeze, strip
-from convolens.functions.text_checks import masked
-
-TURN = "struct<turn:string,timestamp:string,user_question:string,llm_response:string,retrieved_data:string,trace_matched:string,llm_eval_result:string,llm_eval_score:string,llm_alternatives:string>"
-USER = f"struct<user_id:string,db_dept_name:string,db_job_grade:string,conversations:array<struct<conversation_id:string,turns:array<{TURN}>>>>"
-#: Root keys under which a log may hold its users, in order of preference; a passage's text keys.
+from convolens.functions.text_checks import let, masked
+
+#: Keys of a turn, of a user and of a log's users in order of preference; a passage's text keys.
+TURN_KEYS = (
+    "turn", "timestamp", "user_question", "llm_response", "retrieved_data", "prev_question", "trace_matched", "llm_eval_result", "llm_eval_score", "llm_eval_score_top1", "llm_alternatives",
+    "llm_emotion_result", "llm_emotion_score", "llm_emotion_score_top1", "llm_emotion_alternatives",
+)
+USER_KEYS = ("user_id", "db_login_id", "db_dept_name", "db_job_name", "job_grade", "db_position_name")
 ROOTS, PASSAGE_KEYS = ("users", "analysis_results", "data"), ("text", "content", "chunk")
-LOG = "struct<" + ",".join(f"{root}:array<{USER}>" for root in ROOTS) + ">"
+TURN = f"struct<{','.join(f'{k}:variant' for k in TURN_KEYS)}>"
+CONVERSATION = f"struct<conversation_id:string,turns:array<{TURN}>>"
+USER = f"struct<{','.join(f'{k}:string' for k in USER_KEYS)},conversations:array<{CONVERSATION}>>"
+LOG = "struct<" + ",".join(f"{root}:array<{USER}>" for root in ROOTS) + f",{USER[7:-1]}>"
+ALTERNATIVES = "array<struct<label:string,name:string,probability:double>>"
+
+
+def _kind(v: Column) -> Column:
+    """STRING, BIGINT, DOUBLE, DECIMAL(..), BOOLEAN, VOID, ARRAY<..> or OBJECT<..>; null for an absent value."""
+    return F.schema_of_variant(v)
+
+
+def _string(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "string")
+
+
+def as_text(v: Column) -> Column:
+    """The value as text, absent and null as empty."""
+    return F.coalesce(_string(v), F.lit(""))
+
+
+def as_bool(v: Column) -> Column:
+    """A JSON boolean, or one of the usual words as a JSON string; numbers are none."""
+    word = F.lower(strip(_string(v)))
+    said = F.when(word.isin("true", "1", "y", "yes"), True).when(word.isin("false", "0", "n", "no"), False)
+    return F.when(_kind(v) == "BOOLEAN", F.try_variant_get(v, "$", "boolean")).when(_kind(v) == "STRING", said)
+
+
+def as_float(v: Column) -> Column:
+    """A JSON number, 1 or 0 for a boolean, or a number written as a string."""
+    number = F.when(_kind(v) == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("double")).when(_kind(v) == "STRING", strip(_string(v)).try_cast("double"))
+    return number.otherwise(F.try_variant_get(v, "$", "double"))
 
 
-def as_bool(text: Column) -> Column:
-    bare = F.lower(strip(text))
-    return F.when(bare.isin("true", "1", "y", "yes"), True).when(bare.isin("false", "0", "n", "no"), False)
+def split_concatenated(text: Column) -> Column:
+    """Parts between blank lines, trimmed; where that gives one part at most, the lines."""
+    parts = lambda pattern: F.filter(F.transform(F.split(text, pattern), strip), lambda x: x != "")
+    return let(parts(r"\n\s*\n"), lambda blocks: F.when(F.size(blocks) > 1, blocks).otherwise(parts(r"\n")))
 
 
-def as_float(text: Column) -> Column:
-    return strip(text).try_cast("double")
+def _items(list_: Column) -> Column:
+    """Passages of a variant that holds a list: strings as they are, the first text key of objects; others as JSON."""
 
+    def one(x: Column) -> Column:
+        named = F.coalesce(*[F.nullif(F.try_variant_get(x, f"$.{k}", "string"), F.lit("")) for k in PASSAGE_KEYS])
+        return F.when(_kind(x).startswith("OBJECT"), named).when(F.is_variant_null(x), F.lit("")).otherwise(F.coalesce(_string(x), F.to_json(x)))
 
-def passages(text: Column) -> Column:
-    """Retrieved passages of a JSON list (strings or objects), of another JSON value, or of text parted by blank lines."""
-    bare = strip(text)
-    items = F.from_json(bare, "array<string>")
-    named = lambda x: F.coalesce(*[F.nullif(F.get_json_object(x, f"$.{k}"), F.lit("")) for k in PASSAGE_KEYS], x)
-    one = lambda x: F.when(x.startswith("{"), named(x)).otherwise(x)
-    blocks = F.filter(F.transform(F.split(bare, r"\n\s*\n"), strip), lambda x: x != "")
-    lines = F.filter(F.transform(F.split(bare, r"\n"), strip), lambda x: x != "")
-    split = F.when(F.size(blocks) > 1, blocks).otherwise(lines)
-    found = F.when(bare.startswith("[") & items.isNotNull(), F.transform(items, one)).when(bare.startswith("{") & F.try_parse_json(bare).isNotNull(), F.array(named(bare))).otherwise(split)
-    return F.filter(found, lambda x: x.isNotNull() & (squeeze(x) != ""))
+    return F.transform(F.try_variant_get(list_, "$", "array<variant>"), one)
 
 
-def alternatives(text: Column) -> Column:
+def passages(v: Column) -> Column:
+    """Retrieved passages of a JSON list, of a string that holds JSON, or of a text parted by blank lines.
+
+    Blank passages and objects without a text key are dropped; absent, null and empty values give none.
+    """
+    none = F.array().cast("array<string>")
+
+    def of_text(text: Column) -> Column:
+        def parsed(p: Column) -> Column:
+            scalar = F.when(_kind(p) == "STRING", F.array(_string(p))).otherwise(_items(F.parse_json(F.concat(F.lit("["), text, F.lit("]")))))
+            return F.when(p.isNull(), split_concatenated(text)).when(F.is_variant_null(p), none).when(_kind(p).startswith("ARRAY"), _items(p)).otherwise(scalar)
+
+        return F.when(text == "", none).otherwise(let(F.try_parse_json(text), parsed))
+
+    other = F.when(_kind(v) == "VOID", none).otherwise(F.array(_string(v)))
+    found = F.when(v.isNull(), none).when(_kind(v) == "STRING", let(strip(_string(v)), of_text)).when(_kind(v).startswith("ARRAY"), _items(v)).otherwise(other)
+    return F.filter(F.coalesce(found, none), lambda x: x.isNotNull() & (squeeze(x) != ""))
+
+
+def alternatives(v: Column) -> Column:
     """array of struct<label, name, probability>; blanks around keys and the misspelling `lable` are accepted."""
-    items = F.from_json(text, "array<map<string,string>>")
+    items = F.filter(F.try_variant_get(v, "$", "array<variant>"), lambda x: _kind(x).startswith("OBJECT"))
 
     def one(item: Column) -> Column:
-        keyed = F.map_from_entries(F.transform(F.map_entries(item), lambda e: F.struct(F.when(F.trim(e["key"]) == "lable", "label").otherwise(F.trim(e["key"])), e["value"])))
-        at = lambda k: F.try_element_at(keyed, F.lit(k))
+        key = lambda e: F.when(F.trim(e["key"]) == "lable", "label").otherwise(F.trim(e["key"]))
+        entries = F.transform(F.map_entries(F.try_variant_get(item, "$", "map<string,string>")), lambda e: F.struct(key(e).alias("key"), e["value"].alias("value")))
+        at = lambda k: F.get(F.filter(entries, lambda e: e["key"] == k), F.lit(0))["value"]
         return F.struct(at("label").alias("label"), at("name").alias("name"), F.coalesce(at("probability").try_cast("double"), F.lit(0.0)).alias("probability"))
 
-    return F.coalesce(F.transform(F.filter(items, lambda x: x.isNotNull()), one), F.array().cast("array<struct<label:string,name:string,probability:double>>"))
+    return F.coalesce(F.transform(items, one), F.array().cast(ALTERNATIVES))
 
 
 def flatten(logs: DataFrame, text: str = "value") -> DataFrame:
-    """One row per turn of JSON logs, one log per row in column `text`. A conversation without an id gets its position."""
-    parsed = logs.select(F.from_json(F.col(text), LOG).alias("log"))
-    users = parsed.select(F.explode(F.coalesce(*[F.col(f"log.{root}") for root in ROOTS])).alias("u"))
-    convs = users.select("u.user_id", "u.db_dept_name", "u.db_job_grade", F.posexplode("u.conversations").alias("position", "c"))
-    rows = convs.select("*", F.explode("c.turns").alias("t"))
+    """One row per turn of JSON logs (or of single users), one per row in column `text`.
+
+    A conversation without an id is named by its user and place. `ordinal` keeps the order of a log's turns.
+    """
+    parsed = logs.select(F.monotonically_increasing_id().alias("file"), F.from_json(F.col(text), LOG).alias("log"))
+    one = F.when(F.col("log.conversations").isNotNull(), F.array(F.struct(*[F.col(f"log.{k}") for k in (*USER_KEYS, "conversations")]))) if text else None
+    users = parsed.select("file", F.posexplode(F.coalesce(*[F.col(f"log.{root}") for root in ROOTS], one)).alias("user_no", "u"))
+    convs = users.select("file", "user_no", *[F.col(f"u.{k}") for k in USER_KEYS], F.posexplode("u.conversations").alias("conv_no", "c"))
+    rows = convs.select("*", F.posexplode("c.turns").alias("place", "t"))
+    known = lambda c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("unknown"))
+    user = masked(F.col("user_id"))
     return rows.select(
-        masked(F.col("user_id")).alias("user_id"),
-        F.col("db_dept_name").alias("dept"),
-        F.col("db_job_grade").alias("job_grade"),
-        F.coalesce(F.nullif(F.col("c.conversation_id"), F.lit("")), F.concat(F.lit("conv_"), F.col("position") + 1)).alias("conversation_id"),
-        F.col("t.turn").try_cast("int").alias("turn"),
-        F.col("t.timestamp").alias("timestamp"),
-        F.col("t.user_question").alias("user_question"),
-        F.col("t.llm_response").alias("llm_response"),
+        F.col("user_id").alias("user_id_raw"),
+        user.alias("user_id"),
+        F.coalesce("db_login_id", F.lit("")).alias("login_id"),
+        known("db_dept_name").alias("dept"),
+        known("db_job_name").alias("job_name"),
+        known("job_grade").alias("job_grade"),
+        known("db_position_name").alias("position"),
+        F.coalesce(F.nullif(F.col("c.conversation_id"), F.lit("")), F.concat(user, F.lit("#"), F.col("conv_no").cast("string"))).alias("conversation_id"),
+        F.coalesce(F.try_variant_get("t.turn", "$", "int"), F.lit(-1)).alias("turn"),
+        as_text(F.col("t.timestamp")).alias("timestamp"),
+        as_text(F.col("t.user_question")).alias("user_question"),
+        as_text(F.col("t.llm_response")).alias("llm_response"),
         passages(F.col("t.retrieved_data")).alias("retrieved"),
         as_bool(F.col("t.trace_matched")).alias("trace_matched"),
-        F.col("t.llm_eval_result").alias("eval_result"),
-        as_float(F.col("t.llm_eval_score")).alias("eval_score"),
-        alternatives(F.col("t.llm_alternatives")).alias("eval_alternatives"),
+        *[
+            x
+            for kind in ("eval", "emotion")
+            for x in (
+                as_text(F.col(f"t.llm_{kind}_result")).alias(f"{kind}_result"),
+                as_float(F.col(f"t.llm_{kind}_score")).alias(f"{kind}_score"),
+                as_float(F.col(f"t.llm_{kind}_score_top1")).alias(f"{kind}_score_top1"),
+                alternatives(F.col("t.llm_alternatives" if kind == "eval" else "t.llm_emotion_alternatives")).alias(f"{kind}_alternatives"),
+            )
+        ],
+        F.struct("file", "user_no", "conv_no", "place").alias("ordinal"),
     )
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """Logs of a path, each file one JSON document."""
-    return flatten(spark.read.text(path, wholetext=True))
+def read(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Turns of the logs under a path: one JSON document a file, or with `lines` one log or user a line."""
+    return flatten(spark.read.text(path, wholetext=not lines))
+
+
+def legacy_cases(logs: DataFrame, text: str = "value") -> DataFrame:
+    """Cases of logs whose turns are paired already: pre_queries, llm_ans_on_last_q, current_query, rag_data.
+
+    Queries and passages may be a list or a text; a turn's other keys are as in `flatten`.
+    """
+    turn = "struct<turn:int,pre_queries:variant,llm_ans_on_last_q:string,current_query:string,rag_data:variant>"
+    user = f"struct<{','.join(f'{k}:string' for k in USER_KEYS)},conversations:array<struct<conversation_id:string,turns:array<{turn}>>>>"
+    users = logs.select(F.explode(F.from_json(F.col(text), f"struct<analysis_results:array<{user}>>")["analysis_results"]).alias("u"))
+    rows = users.select(*[F.col(f"u.{k}") for k in USER_KEYS], F.explode("u.conversations").alias("c")).select("*", F.explode("c.turns").alias("t"))
+    known = lambda c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("unknown"))
+    queries = F.col("t.pre_queries")
+    asked = F.when(_kind(queries).startswith("ARRAY"), F.try_variant_get(queries, "$", "array<string>")).when(_kind(queries) == "STRING", F.array(_string(queries)))
+    user_id = masked(F.col("user_id"))
+    return rows.select(
+        F.concat_ws(":", user_id, "c.conversation_id", F.col("t.turn").cast("string")).alias("case_id"),
+        F.col("user_id").alias("user_id_raw"), user_id.alias("user_id"), F.coalesce("db_login_id", F.lit("")).alias("login_id"), known("db_dept_name").alias("dept"), known("job_grade").alias("job_grade"),
+        known("db_job_name").alias("job_name"), known("db_position_name").alias("position"), F.col("c.conversation_id").alias("conversation_id"), F.col("t.turn").alias("turn"),
+        F.coalesce(asked, F.array().cast("array<string>")).alias("pre_queries"), F.coalesce("t.llm_ans_on_last_q", F.lit("")).alias("llm_ans_on_last_q"),
+        F.coalesce("t.current_query", F.lit("")).alias("current_query"), passages(F.col("t.rag_data")).alias("rag_chunks"),
+    )

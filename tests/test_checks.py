@@ -1,5 +1,6 @@
 """Answer checks, log source, routing and streaming windows on planted rows."""
 
+import hashlib
 import json
 
 import pytest
@@ -75,9 +76,9 @@ def test_log_absorbs_dirty_values(spark):
     log = {"analysis_results": [{"user_id": "u", "conversations": [{"turns": [turn, {"turn": None, "retrieved_data": "a\n\nb\nc"}]}]}, {"user_id": None, "conversations": None}]}
     frame = spark.createDataFrame([(json.dumps(log),), ("no json",), (None,), ("{}",)], "value string")
     first, second = conversation_log.flatten(frame).orderBy(F.desc_nulls_last("turn")).collect()
-    assert (first.conversation_id, first.turn, first.trace_matched, first.eval_score, first.retrieved) == ("conv_1", 2, True, None, ["p1", "p2"])
+    assert (first.conversation_id, first.turn, first.trace_matched, first.eval_score, first.retrieved) == (f"u_{hashlib.sha256(b'u').hexdigest()[:12]}#0", 2, True, None, ["p1", "p2"])
     assert [(a.label, a.probability) for a in first.eval_alternatives] == [("A", 0.5)]
-    assert (second.turn, second.retrieved, second.eval_alternatives) == (None, ["a", "b\nc"], [])
+    assert (second.turn, second.retrieved, second.eval_alternatives) == (-1, ["a", "b\nc"], [])
 
 
 def test_routing_order(spark):
@@ -102,3 +103,19 @@ def test_streamed_windows_equal_batch(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert sorted(spark.table("tumbled").collect()) == sorted(windows.tumbling(batch, "ts", "event_type", "1 day").collect())
+
+
+def test_log_keeps_json_types_apart(spark):
+    values = [("1", None, 1.0), ("true", True, 1.0), ('"1"', True, 1.0), ('" No "', False, None), ("0.5", None, 0.5), ("null", None, None), ('"x"', None, None), ("[1]", None, None)]
+    rows = spark.createDataFrame([(v,) for v, *_ in values], "v string").select("v", F.parse_json("v").alias("j"))
+    got = {r.v: (r.b, r.f) for r in rows.select("v", conversation_log.as_bool(F.col("j")).alias("b"), conversation_log.as_float(F.col("j")).alias("f")).collect()}
+    assert got == {v: (b, f) for v, b, f in values}
+
+
+def test_passages_of_all_shapes(spark):
+    given = {
+        '["a", {"text": "", "content": "b"}, {"other": 1}, " ", 5]': ["a", "b", "5"], '"one\\n\\ntwo\\nlines"': ["one", "two\nlines"], '"x\\ny"': ["x", "y"], '"[\\"p\\", {\\"chunk\\": \\"q\\"}]"': ["p", "q"],
+        '"\\"scalar\\""': ["scalar"], '"{\\"text\\": \\"t\\"}"': ["t"], "null": [], '""': [], '"[]"': [], '"[broken"': ["[broken"], "7": ["7"],
+    }
+    rows = spark.createDataFrame([(v,) for v in given], "v string").select("v", conversation_log.passages(F.parse_json("v")).alias("p")).collect()
+    assert {r.v: r.p for r in rows} == given
