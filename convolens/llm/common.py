@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +62,18 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, n: int) -> Iterator[None]:
+    """Python stages that are planned inside get batches of at most n rows: for rows that may each be very large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, n)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def attach(rows: DataFrame, per_key: DataFrame, key: str, total: int, size: str) -> DataFrame:
     """Inner equi-join of rows with one row per key that does not gather a hot key in one task.
 
