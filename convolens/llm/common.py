@@ -64,14 +64,16 @@ def discard(*tables: DataFrame) -> None:
 
 @contextmanager
 def arrow_rows(spark: SparkSession, n: int) -> Iterator[None]:
-    """Python stages that are planned inside get batches of at most n rows: for rows that may each be very large."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, n)
+    """Python stages that are planned inside get batches of at most n rows and about 8 MB: for rows that may each be very large."""
+    limits = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(n), "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+    before = {name: spark.conf.get(name) for name in limits}
+    for name, value in limits.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def attach(rows: DataFrame, per_key: DataFrame, key: str, total: int, size: str) -> DataFrame:
