@@ -50,16 +50,13 @@ def _looked_up(docs: DataFrame, windows: DataFrame, lengths: list[int], marks: b
 
     With `marks` every row of docs has one more row, without a hit.
     """
-    first = -1 if marks else 0
-    at = docs.select("doc_id", "digest", "words", F.explode(F.sequence(F.lit(first), F.greatest(F.size("words") - min(lengths), F.lit(first)))).alias("start"))
-    here = lambda n: F.when((F.col("start") >= 0) & (F.col("start") + n <= F.size("words")), _key(F.slice("words", F.greatest(F.col("start"), F.lit(0)) + 1, n)))
-    if len(lengths) == 1:
-        at = at.withColumns({"n": F.lit(lengths[0]), "key": here(lengths[0])})
-    else:
-        # a mark needs no key, so it stands once only
-        keys = F.filter(F.array(*[F.struct(F.lit(n).alias("n"), here(n).alias("key")) for n in lengths]), lambda x: x["key"].isNotNull())
-        none = F.array(F.struct(F.lit(0).alias("n"), F.lit(None).cast("long").alias("key")))
-        at = at.withColumn("at", F.explode(F.when(F.col("start") < 0, none).otherwise(keys))).select("doc_id", "digest", "words", "start", "at.*")
+    # one generator for all lengths: a second one would hold a copy of the words for every place of the first
+    first, k = -1 if marks else 0, len(lengths)
+    last = F.greatest((F.size("words") - (min(lengths) - 1)) * k - 1, F.lit(first))
+    at = docs.select("doc_id", "digest", "words", F.explode(F.sequence(F.lit(first), last)).alias("number"))
+    n = F.element_at(F.array(*map(F.lit, lengths)), F.greatest(F.col("number"), F.lit(0)) % k + 1) if k > 1 else F.lit(lengths[0])
+    at = at.withColumns({"start": F.when(F.col("number") < 0, -1).otherwise(F.expr(f"cast(number div {k} as int)")), "n": n})
+    at = at.withColumn("key", F.when((F.col("start") >= 0) & (F.col("start") + F.col("n") <= F.size("words")), _key(F.slice("words", F.greatest(F.col("start"), F.lit(0)) + 1, F.col("n")))))
     found = at.join(F.broadcast(windows), "key", "left" if marks else "inner")
     same = F.col("window") == F.slice("words", F.greatest(F.col("start"), F.lit(0)) + 1, F.col("n"))
     hit = F.when(same, F.struct("start", (F.col("start") + F.col("n")).alias("stop"), "window_id")).alias("hit")
