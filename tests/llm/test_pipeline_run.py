@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 import public_tokenizers
@@ -43,3 +44,21 @@ def test_run_equals_plain_stages(spark, tmp_path):
         docs = corpus_pipeline.materialise(stage(spark, docs, str(tmp_path)), f"plain-{name}")
         left = {r.doc_id for r in docs.select("doc_id").collect()}
         assert left == ({r[0] for r in rows} - bad if name == "toxicity" else {min(x)[1] for x in groups.values()} if name == "exact_dedup" else kept)
+
+
+def test_stages_keep_columns_with_clashing_names_and_handle_dirty_rows(spark, tmp_path):
+    words = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, words, "en", "a", 5), (1, words, "en", "a", 5), (2, None, None, None, None), (3, "", "en", "b", 0), (None, "no id here", "en", "b", 1), (5, f"{words} {words}", "en", "a", 9), (6, "x " * 50_000, "en", "c", 9)]
+    clash = ["score", "predicted", "n_hits", "__tox", "doc", "doc_text", "sha", "row", "fp", "size", "taken", "copies"]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit(c) for c in clash})
+    spark.createDataFrame([(1, 1, 0), (5, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = corpus_pipeline.materialise(stage(spark, docs, str(tmp_path)), f"clash-{name}")
+        assert out.columns == docs.columns, name
+        assert all(r[c] == c for r in out.select(*clash).collect() for c in clash), name
+        empty = stage(spark, docs.limit(0), str(tmp_path))
+        assert empty.columns == docs.columns and empty.count() == 0, name
+        left = out.select("doc_id").collect()
+        assert len(left) == len(rows) if name == "toxicity" else len({r.doc_id for r in left}) == len(left) or name == "mixing", name
+        docs = out
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == docs.count()
