@@ -6,15 +6,11 @@ import atexit
 import shutil
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def settle(rows: DataFrame) -> DataFrame:
-    """rows as a reliable checkpoint: later steps neither plan nor run what came before again.
-
-    The folder is that of spark.checkpoint.dir; a local session without one (tests) gets a temporary folder.
-    """
-    spark = rows.sparkSession
+def folder(spark: SparkSession) -> str:
+    """The shared folder of spark.checkpoint.dir; a local session without one (tests) gets a temporary folder."""
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not configured:
@@ -24,4 +20,10 @@ def settle(rows: DataFrame) -> DataFrame:
         atexit.register(shutil.rmtree, configured, True)
     if not context.getCheckpointDir():
         context.setCheckpointDir(configured)
+    return configured.rstrip("/")
+
+
+def settle(rows: DataFrame) -> DataFrame:
+    """rows as a reliable checkpoint: later steps neither plan nor run what came before again."""
+    folder(rows.sparkSession)
     return rows.checkpoint()

@@ -1,8 +1,9 @@
 """Nested conversation logs (users, their conversations, turns) flattened to one normalised row per turn.
 
 Dirty fields are read as variants, so a JSON string, number and boolean stay apart, and are normalised with Catalyst
-expressions: a bad value ends as null and never fails the scan. A log is one JSON document; `read` takes files of one
-log each, or of one log or user per line, which is the form to use where a file would not fit a task.
+expressions: a bad value ends as null and never fails the scan. The levels are parsed one after the other, so that an
+element that is no object costs itself only; `damage` counts such elements. A log is one JSON document; `read` takes
+files of one log each, of one log or user per line, or large documents, which `large_log` cuts into users.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from convolens.functions.answer_checks import squeeze, strip
 from convolens.functions.text_checks import let, masked
+from convolens.sources import large_log
 
 #: Keys of a turn, of a user and of a log's users in order of preference; a passage's text keys.
 TURN_KEYS = (
@@ -20,10 +22,9 @@ TURN_KEYS = (
 )
 USER_KEYS = ("user_id", "db_login_id", "db_dept_name", "db_job_name", "job_grade", "db_position_name")
 ROOTS, PASSAGE_KEYS = ("users", "analysis_results", "data"), ("text", "content", "chunk")
-TURN = f"struct<{','.join(f'{k}:variant' for k in TURN_KEYS)}>"
-CONVERSATION = f"struct<conversation_id:string,turns:array<{TURN}>>"
-USER = f"struct<{','.join(f'{k}:string' for k in USER_KEYS)},conversations:array<{CONVERSATION}>>"
-LOG = "struct<" + ",".join(f"{root}:array<{USER}>" for root in ROOTS) + f",{USER[7:-1]}>"
+CONVERSATION = "struct<conversation_id:string,turns:array<string>>"
+USER = f"struct<{','.join(f'{k}:string' for k in USER_KEYS)},conversations:array<string>>"
+LOG = "struct<" + ",".join(f"{root}:array<string>" for root in ROOTS) + ",conversations:array<string>>"
 ALTERNATIVES = "array<struct<label:string,name:string,probability:double>>"
 
 
@@ -102,16 +103,49 @@ def alternatives(v: Column) -> Column:
     return F.coalesce(F.transform(items, one), F.array().cast(ALTERNATIVES))
 
 
-def flatten(logs: DataFrame, text: str = "value") -> DataFrame:
+def _is_object(text: Column) -> Column:
+    """Whether a JSON text (of an element that was parsed once) is an object's."""
+    return F.coalesce(F.ltrim(text).startswith("{"), F.lit(False))
+
+
+def levels(logs: DataFrame, text: str = "value", file: str | None = None) -> DataFrame:
+    """file, user_no, conv_no, place, the user's keys, conversation_id, t (a variant) of every element of JSON logs.
+
+    `bad` names the level of an element that is no object, or of a text that is no log; it is null for turns. Texts
+    may be single users. `file` is a column that numbers the texts, else they are numbered here.
+    """
+    number = F.col(file) if file else F.monotonically_increasing_id()
+    parsed = logs.select(number.alias("file"), F.col(text).alias("text"), F.from_json(F.col(text), LOG).alias("log"))
+    single = F.col("log.conversations").isNotNull()
+    listed = F.coalesce(*[F.col(f"log.{root}") for root in ROOTS], F.when(single, F.array("text")))
+    users = parsed.select("file", listed.isNull().alias("no_log"), F.posexplode_outer(listed).alias("user_no", "raw"))
+    users = users.select("file", "user_no", F.when(F.col("no_log"), "log").when(F.col("user_no").isNotNull() & ~_is_object(F.col("raw")), "user").alias("bad"), F.when(_is_object(F.col("raw")), F.from_json("raw", USER)).alias("u"))
+    convs = users.select("file", "user_no", "bad", *[F.col(f"u.{k}") for k in USER_KEYS], F.posexplode_outer("u.conversations").alias("conv_no", "raw"))
+    convs = convs.select("file", "user_no", "conv_no", F.when(F.col("conv_no").isNotNull() & ~_is_object(F.col("raw")), "conversation").otherwise(F.col("bad")).alias("bad"), *USER_KEYS, F.when(_is_object(F.col("raw")), F.from_json("raw", CONVERSATION)).alias("c"))
+    rows = convs.select("file", "user_no", "conv_no", "bad", *USER_KEYS, F.col("c.conversation_id").alias("c_id"), F.posexplode_outer("c.turns").alias("place", "raw"))
+    rows = rows.withColumns({"bad": F.when(F.col("place").isNotNull() & ~_is_object(F.col("raw")), "turn").otherwise(F.col("bad")), "t": F.when(_is_object(F.col("raw")), F.try_parse_json("raw"))})
+    # a JSON string that looks like an object
+    rows = rows.withColumn("bad", F.when(F.col("bad").isNull() & F.col("place").isNotNull() & F.col("t").isNull(), "turn").otherwise(F.col("bad")))
+    return rows.drop("raw")
+
+
+def _at(key: str) -> Column:
+    """A key of the turn in column t, as a variant."""
+    return F.try_variant_get("t", f"$.{key}", "variant")
+
+
+def damage(logs: DataFrame, text: str = "value") -> DataFrame:
+    """level, n of the elements that `flatten` leaves out: log, user, conversation, turn."""
+    return levels(logs, text).where("bad is not null").groupBy(F.col("bad").alias("level")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def flatten(logs: DataFrame, text: str = "value", file: str | None = None) -> DataFrame:
     """One row per turn of JSON logs (or of single users), one per row in column `text`.
 
-    A conversation without an id is named by its user and place. `ordinal` keeps the order of a log's turns.
+    A conversation without an id is named by its user and place. `ordinal` keeps the order of a log's turns. Elements
+    that are no objects are left out, see `damage`.
     """
-    parsed = logs.select(F.monotonically_increasing_id().alias("file"), F.from_json(F.col(text), LOG).alias("log"))
-    one = F.when(F.col("log.conversations").isNotNull(), F.array(F.struct(*[F.col(f"log.{k}") for k in (*USER_KEYS, "conversations")]))) if text else None
-    users = parsed.select("file", F.posexplode(F.coalesce(*[F.col(f"log.{root}") for root in ROOTS], one)).alias("user_no", "u"))
-    convs = users.select("file", "user_no", *[F.col(f"u.{k}") for k in USER_KEYS], F.posexplode("u.conversations").alias("conv_no", "c"))
-    rows = convs.select("*", F.posexplode("c.turns").alias("place", "t"))
+    rows = levels(logs, text, file).where("bad is null and place is not null")
     known = lambda c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("unknown"))
     user = masked(F.col("user_id"))
     return rows.select(
@@ -122,29 +156,34 @@ def flatten(logs: DataFrame, text: str = "value") -> DataFrame:
         known("db_job_name").alias("job_name"),
         known("job_grade").alias("job_grade"),
         known("db_position_name").alias("position"),
-        F.coalesce(F.nullif(F.col("c.conversation_id"), F.lit("")), F.concat(user, F.lit("#"), F.col("conv_no").cast("string"))).alias("conversation_id"),
-        F.coalesce(F.try_variant_get("t.turn", "$", "int"), F.lit(-1)).alias("turn"),
-        as_text(F.col("t.timestamp")).alias("timestamp"),
-        as_text(F.col("t.user_question")).alias("user_question"),
-        as_text(F.col("t.llm_response")).alias("llm_response"),
-        passages(F.col("t.retrieved_data")).alias("retrieved"),
-        as_bool(F.col("t.trace_matched")).alias("trace_matched"),
+        F.coalesce(F.nullif(F.col("c_id"), F.lit("")), F.concat(user, F.lit("#"), F.col("conv_no").cast("string"))).alias("conversation_id"),
+        F.coalesce(F.try_variant_get("t", "$.turn", "int"), F.lit(-1)).alias("turn"),
+        as_text(_at("timestamp")).alias("timestamp"),
+        as_text(_at("user_question")).alias("user_question"),
+        as_text(_at("llm_response")).alias("llm_response"),
+        passages(_at("retrieved_data")).alias("retrieved"),
+        as_bool(_at("trace_matched")).alias("trace_matched"),
         *[
             x
             for kind in ("eval", "emotion")
             for x in (
-                as_text(F.col(f"t.llm_{kind}_result")).alias(f"{kind}_result"),
-                as_float(F.col(f"t.llm_{kind}_score")).alias(f"{kind}_score"),
-                as_float(F.col(f"t.llm_{kind}_score_top1")).alias(f"{kind}_score_top1"),
-                alternatives(F.col("t.llm_alternatives" if kind == "eval" else "t.llm_emotion_alternatives")).alias(f"{kind}_alternatives"),
+                as_text(_at(f"llm_{kind}_result")).alias(f"{kind}_result"),
+                as_float(_at(f"llm_{kind}_score")).alias(f"{kind}_score"),
+                as_float(_at(f"llm_{kind}_score_top1")).alias(f"{kind}_score_top1"),
+                alternatives(_at("llm_alternatives" if kind == "eval" else "llm_emotion_alternatives")).alias(f"{kind}_alternatives"),
             )
         ],
         F.struct("file", "user_no", "conv_no", "place").alias("ordinal"),
     )
 
 
-def read(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """Turns of the logs under a path: one JSON document a file, or with `lines` one log or user a line."""
+def read(spark: SparkSession, path: str, lines: bool = False, large: bool = False) -> DataFrame:
+    """Turns of the logs under a path: one JSON document a file, with `lines` one log or user a line.
+
+    With `large` a document is cut into its users by the tasks that read it, so that one file may be of any size.
+    """
+    if large:
+        return flatten(large_log.users(spark, path), file="place")
     return flatten(spark.read.text(path, wholetext=not lines))
 
 

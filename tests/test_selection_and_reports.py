@@ -1,4 +1,4 @@
-"""Filters, turn lists, contract, survey, BI tables, hierarchies, scores, settings, streamed pairs and the command line."""
+"""Filters, turn lists, contract, survey, BI tables, hierarchies, scores, settings and the command line."""
 
 import json
 import math
@@ -11,7 +11,6 @@ from convolens.functions import labels
 from convolens.operators import bi, cases, contracts, filters, hierarchy, output, scoring, survey, turnlist
 from convolens.plans import classify, judging
 from convolens.sources import conversation_log, synthetic
-from convolens.streaming import pairs
 
 TABLE = labels.parse_table("# good\nA. Satisfied (fine) -> 90\n- B. Very Bad (bad, worse) -> 10.5\nno label\n")
 
@@ -180,17 +179,6 @@ def test_settings(tmp_path):
     assert "did you mean limit" in str(e.value) and str(e.value).count(";") == 3
 
 
-def test_streamed_pairs(spark, tmp_path):
-    rows = [(1, 0, "user", "q0"), (1, 1, "assistant", "a1"), (1, 2, "user", "q2"), (2, 1, "user", "z"), (2, 3, "user", "y")]
-    schema = "conv_id long, turn long, role string, text string"
-    for i, part in enumerate((rows[:2], rows[2:], [(1, 1, "assistant", "late")])):
-        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").json(str(tmp_path / "in"))
-        query = pairs.pairs(spark.readStream.schema(schema).json(str(tmp_path / "in"))).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
-        query.awaitTermination()
-        assert spark.read.parquet(str(tmp_path / "out")).count() == (0, 1, 1)[i]
-    assert tuple(spark.read.parquet(str(tmp_path / "out")).first()) == (1, 2, "q2", "a1")
-
-
 def test_command_line(spark, tmp_path):
     path = tmp_path / "log.json"
     path.write_text(synthetic.log(spark, 1, seed=3).first().value)
