@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from convolens.operators.ranks import ranked
+
 
 def lift(rows: DataFrame, axis: str, column: str, least_count: int = 5, least_lift: float = 1.5) -> DataFrame:
     """axis, column, n, expected count under independence, lift, shares, and whether the cell is an outlier."""
@@ -30,6 +32,4 @@ def totals(rows: DataFrame, axis: str, column: str) -> DataFrame:
 def pareto(rows: DataFrame, label: str) -> DataFrame:
     """label, n, rank and the share that the labels up to this rank cover."""
     counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    order = Window.orderBy(F.desc("n"), label)  # over counted labels only
-    whole = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return counts.select(label, "n", F.row_number().over(order).cast("long").alias("rank"), (F.sum("n").over(order) / F.sum("n").over(whole)).alias("covered"))
+    return ranked(counts, [F.desc("n"), F.col(label)]).select(label, "n", "rank", (F.col("upto") / F.col("total")).alias("covered"))
