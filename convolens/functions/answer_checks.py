@@ -119,13 +119,23 @@ def length_check(text: Column, kind: Column) -> Column:
 
 
 def strip_fence(text: Column) -> Column:
-    """The text without a fence around it."""
-    return F.regexp_replace(F.regexp_replace(strip(text), r"\A```\w*\s*", ""), r"\s*```\z", "")
+    """The text without a fence around it; a closing fence that nothing opened stays."""
+    return let(strip(text), lambda bare: F.when(bare.startswith("```"), strip(F.regexp_replace(F.regexp_replace(bare, r"\A```[a-zA-Z]*\s*", ""), r"\s*```\s*\z", ""))).otherwise(bare))
+
+
+def is_json(text: Column) -> Column:
+    """Whether the text is one JSON value and nothing else. Repeated keys and NaN are allowed, as in Python's parser.
+
+    The text stands in a list and as a value of one object, so that no part of it can close or open what is around.
+    """
+    around = F.concat(F.lit('{"x":['), text, F.lit('],"y":'), text, F.lit("}"))
+    broken = F.from_json(around, "y string, broken string", {"columnNameOfCorruptRecord": "broken", "allowSingleQuotes": "false"})["broken"]
+    return (F.coalesce(text, F.lit("")) != "") & broken.isNull()
 
 
 def has_format(text: Column, kind: Column) -> Column:
-    count = lambda name: F.regexp_count(_text(text), F.lit(f"(?md){FORMATS[name]}"))
-    json_ = let(strip_fence(text), lambda bare: (bare != "") & F.try_parse_json(bare).isNotNull())
+    count = lambda name: F.regexp_count(_text(text), F.lit(f"(?mdU){FORMATS[name]}"))
+    json_ = is_json(strip_fence(text))
     return (
         F.when(kind == "numbered_list", count("numbered") >= 2)
         .when(kind == "bullet_list", count("bullet") >= 2)
@@ -216,10 +226,14 @@ def _date_verdict(y: Column, m: Column, d: Column, claim: Column) -> Column:
 
 
 def dates_found(text: Column) -> Column:
-    """array of struct<date, y, m, d, claim> of all dates, first those in figures only. y and claim may be empty."""
+    """array of struct<date, y, m, d, claim> of all dates, first those in figures only. y and claim may be empty.
+
+    Figures may be full-width and blanks of any kind, as in Python's patterns.
+    """
 
     def one(pattern: str) -> Column:
-        cut = lambda x, i: F.regexp_extract(x, pattern, i)
+        pattern = pattern.replace(r"\s", BLANK).replace(r"\d", "[0-9０-９]")
+        cut = lambda x, i: F.translate(F.regexp_extract(x, pattern, i), "０１２３４５６７８９", "0123456789")
         found = F.regexp_extract_all(_text(text), F.lit(pattern), F.lit(0))
         return F.transform(found, lambda x: F.struct(x.alias("date"), *[cut(x, i).alias(n) for i, n in enumerate(("y", "m", "d", "claim"), 1)]))
 

@@ -24,8 +24,8 @@ def newest(folder: str, pattern: str = "*.json") -> str | None:
 
 def flat(users: DataFrame) -> DataFrame:
     """One row per turn of a nested result; a failed turn has the case `error`, absent owners `-`."""
-    convs = users.select(F.struct("*").dropFields("conversations").alias("u"), F.posexplode("conversations").alias("conv_no", "c"))
-    rows = convs.select("u", "conv_no", "c.conversation_id", F.posexplode("c.turns").alias("turn_no", "t"))
+    convs = users.select(F.monotonically_increasing_id().alias("user_no"), F.struct("*").dropFields("conversations").alias("u"), F.posexplode("conversations").alias("conv_no", "c"))
+    rows = convs.select("user_no", "u", "conv_no", "c.conversation_id", F.posexplode("c.turns").alias("turn_no", "t"))
     of = lambda c: F.coalesce(F.col(c), F.lit("-"))
     cls, evidence = "t.classification", "t.classification.evidence"
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
@@ -37,6 +37,7 @@ def flat(users: DataFrame) -> DataFrame:
         text(f"{evidence}.observation.resolved_question").alias("question"), text(f"{evidence}.observation.unmet_need").alias("need"), text(f"{evidence}.observation.complaint_target").alias("target"), text(f"{evidence}.observation.question_domain").alias("domain"),
         text(f"{evidence}.sufficiency.verdict").alias("verdict"), text(f"{evidence}.sufficiency.missing").alias("missing"), size(f"{evidence}.sufficiency.evidence").alias("n_quotes"), size(f"{evidence}.sufficiency.dropped_evidence").alias("n_dropped"),
         text(f"{evidence}.grounding.answer_used_rag").alias("grounding"), F.coalesce(F.col(f"{cls}.llm_calls"), F.lit(0)).alias("llm_calls"), F.col("t.llm_ans_on_last_q").alias("answer"), F.col("t.current_query").alias("reaction"),
+        F.struct("user_no", "conv_no", "turn_no").alias("log_place"),
     )
 
 
@@ -55,13 +56,17 @@ def narrow(rows: DataFrame, chosen: dict[str, set[str] | None], hide_low: bool =
     return rows.where("confidence <> 'low'") if hide_low else rows
 
 
+def _no_case() -> Column:
+    return F.col("case_id").isin(routing.UNCLASSIFIED, routing.OUTSIDE)
+
+
 def is_failure() -> Column:
     return ~F.col("case_id").isin(*taxonomy.NO_FAILURE, "error")
 
 
 def health(rows: DataFrame) -> DataFrame:
     """One row: turns, dropped quotes, and turns of low confidence, without a case, with an outage, without a failure, with their shares."""
-    tests = {"low": F.col("confidence") == "low", "unclassified": F.col("case_id") == routing.UNCLASSIFIED, "outage": F.col("case_id") == "case9", "no_failure": F.col("case_id") == "case0", "error": F.col("case_id") == "error"}
+    tests = {"low": F.col("confidence") == "low", "unclassified": _no_case(), "outage": F.col("case_id") == "case9", "no_failure": F.col("case_id") == "case0", "error": F.col("case_id") == "error"}
     counted = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("n_dropped"), F.lit(0)).alias("n_dropped"), *[F.count_if(c).alias(k) for k, c in tests.items()])
     return counted.select("*", *[F.try_divide(F.col(k), F.col("n")).alias(f"{k}_share") for k in tests])
 
@@ -94,22 +99,22 @@ def crosstab(rows: DataFrame, axis: str) -> DataFrame:
 
 def suspect_first(rows: DataFrame) -> DataFrame:
     """rows with `suspicion`: what a reviewer should look at first."""
-    tests = {"dropped": F.col("n_dropped") > 0, "low": F.col("confidence") == "low", "unclassified": F.col("case_id") == routing.UNCLASSIFIED, "secondary": F.size("secondary") > 0}
-    score = sum([F.when(c, SUSPECT[k]).otherwise(0) for k, c in tests.items()], F.lit(0))
-    return rows.withColumn("suspicion", score.cast("int")).orderBy(F.desc("suspicion"), "conversation_id", "turn")
+    times = {"dropped": F.coalesce("n_dropped", F.lit(0)), "low": (F.col("confidence") == "low").cast("int"), "unclassified": _no_case().cast("int"), "secondary": (F.size("secondary") > 0).cast("int")}
+    score = sum([n * SUSPECT[k] for k, n in times.items()], F.lit(0))
+    return rows.withColumn("suspicion", score.cast("int")).orderBy(F.desc("suspicion"), "log_place")
 
 
 def ordered(rows: DataFrame, order: str) -> DataFrame:
-    """rows by one of four orders: suspect, case, confidence (low first) or log."""
+    """rows by one of five orders: suspect, dept (and case), case, confidence (low first) or log; ties in the log's order."""
     if order == "suspect":
         return suspect_first(rows)
     level = F.array_position(F.array(*map(F.lit, LEVELS)), F.col("confidence"))
-    return rows.orderBy(*{"case": [taxonomy.sort_key(F.col("case_id"))], "confidence": [level.desc()], "log": []}[order], "conversation_id", "turn")
+    return rows.orderBy(*{"dept": [F.col("dept"), F.col("case_id")], "case": [taxonomy.sort_key(F.col("case_id"))], "confidence": [level.desc()], "log": []}[order], "log_place")
 
 
 def gaps(rows: DataFrame) -> DataFrame:
-    """need, n, depts, n_depts, question of what the passages lacked (case20), the widest need first."""
+    """need, n, units, n_units, question (the first in the log) of unmet needs that no passage covers (case20), the widest need first."""
     from convolens.operators import hierarchy
 
-    lacking = rows.where("case_id = 'case20'").withColumn("place", F.struct("conversation_id", "turn"))
-    return hierarchy.gaps(lacking, "missing", "dept", "question", "place").orderBy(F.desc("n_units"), F.desc("n"), "missing")
+    lacking = rows.where("case_id = 'case20' and missing != ''")
+    return hierarchy.gaps(lacking, "need", "dept", "question", "log_place").orderBy(F.desc("n_units"), F.desc("n"), "need")

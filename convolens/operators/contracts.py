@@ -79,9 +79,11 @@ def _layer(rows: DataFrame, layer: str, fields: tuple[Field, ...]) -> DataFrame:
     for i, f in enumerate(fields):
         counts = _field_counts(f)
         seen = F.collect_set(F.when(counts["type"], kind(F.try_variant_get("v", f"$.{f.name}", "variant"))))
-        aggs += [F.count_if(c).alias(f"c{i}_{k}") for k, c in counts.items()] + [seen.alias(f"t{i}")]
+        # a key is missing where no record has it; records without a key that others have are no mismatch
+        missing = F.when(F.count_if(counts.pop("missing")) == F.count(F.lit(1)), F.count(F.lit(1))).otherwise(0)
+        aggs += [missing.alias(f"c{i}_missing")] + [F.count_if(c).alias(f"c{i}_{k}") for k, c in counts.items()] + [seen.alias(f"t{i}")]
         note = lambda k, i=i: F.array_join(F.slice(F.array_sort(f"t{i}"), 1, 4), ",") if k == "type" else F.lit("")
-        cells += [F.struct(F.lit(f.name).alias("field"), F.lit(k).alias("kind"), F.col(f"c{i}_{k}").alias("n"), "rows", note(k).alias("note"), F.lit(f.unused).alias("unused")) for k in counts]
+        cells += [F.struct(F.lit(f.name).alias("field"), F.lit(k).alias("kind"), F.col(f"c{i}_{k}").alias("n"), "rows", note(k).alias("note"), F.lit(f.unused).alias("unused")) for k in ("missing", *counts)]
     known = keyed.agg(*aggs).select(F.inline(F.array(*cells)))
     names = [f.name for f in fields] + list(NESTED[layer])
     unknown = keyed.select(F.explode("keys").alias("field")).where(~F.col("field").isin(*names)).groupBy("field").agg(F.count(F.lit(1)).alias("n"))

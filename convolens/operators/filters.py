@@ -30,7 +30,9 @@ def as_set(value) -> set[str]:
 
 
 def as_range(value) -> tuple[float, float] | None:
-    """Two numbers in order; anything else is no range."""
+    """Two numbers in order; anything else, a text too, is no range."""
+    if not isinstance(value, (list, tuple)) or len(value) != 2:
+        return None
     try:
         low, high = sorted(map(float, value))
     except (TypeError, ValueError):
@@ -38,20 +40,31 @@ def as_range(value) -> tuple[float, float] | None:
     return low, high
 
 
+def _number(value) -> float | None:
+    try:
+        return float(value)
+    except (TypeError, ValueError):
+        return None
+
+
 def turn_buckets(values) -> list[tuple[int, float]]:
-    """Closed ranges of turn numbers of texts like `1-5`, `6~10`, `51 이상`, `3 이하`, `4`; `2-` is open upwards."""
-    out = []
-    for text in map(str, values or []):
-        numbers = [int(x) for x in re.findall(r"\d+", text)]
-        if re.search(r"\d\s*[-~]\s*\d", text) and len(numbers) >= 2:
-            out.append((min(numbers[:2]), max(numbers[:2])))
-        elif numbers and ("이상" in text or re.fullmatch(r"\s*\d+\s*[-~]\s*", text)):
-            out.append((numbers[0], math.inf))
-        elif numbers and "이하" in text:
-            out.append((1, numbers[0]))
-        elif len(numbers) == 1:
-            out.append((numbers[0], numbers[0]))
-    return out
+    """Closed ranges of turn numbers of texts like `1-5 턴`, `6~10`, `51 턴 이상`, `3 이하`, `4`.
+
+    Two numbers with a sign between them go first, wherever they stand, then a number that a bound follows; else a
+    text with one number alone names that turn.
+    """
+
+    def of(text: str) -> tuple[int, float] | None:
+        if span := re.search(r"(\d+)\s*[-~]\s*(\d+)", text):
+            return tuple(sorted(map(int, span.groups())))
+        if low := re.search(r"(\d+)\D*이상", text):
+            return int(low[1]), math.inf
+        if high := re.search(r"(\d+)\D*이하", text):
+            return 1, int(high[1])
+        numbers = re.findall(r"\d+", text)
+        return (int(numbers[0]),) * 2 if len(numbers) == 1 else None
+
+    return [found for text in map(str, values or []) if (found := of(text))]
 
 
 @dataclass
@@ -69,8 +82,8 @@ class FilterSpec:
 def parse(raw: dict, query: dict[str, Label], emotion: dict[str, Label], placeholders: bool = False) -> FilterSpec:
     """A filter of its JSON form, with the state at the root or under `state`.
 
-    Labels that no table knows are listed and do not filter. With placeholder tables a filter over labels or scores
-    is refused, as it would silently leave nothing.
+    Labels that no table knows are listed and do not filter, and scores that are no numbers are skipped. With
+    placeholder tables a filter over labels or scores is refused, as it would silently leave nothing or everything.
     """
     state = raw.get("state", raw)
     org, tree = state.get("org") or {}, state.get("org_tree") or {}
@@ -84,9 +97,8 @@ def parse(raw: dict, query: dict[str, Label], emotion: dict[str, Label], placeho
         wanted = as_set(state.get(f"{kind}_labels"))
         spec.letters[kind], unknown = labels.resolve_all(sorted(wanted), table)
         spec.unknown_labels += unknown
-    given = state.get("query_scores") or {}
-    spec.scores = {x.letter: x.score for x in query.values()} | {str(k): float(v) for k, v in given.items()}
-    if placeholders and not given and (spec.ranges or any(spec.letters.values())):
+    spec.scores = {x.letter: x.score for x in query.values()} | {str(k): n for k, v in (state.get("query_scores") or {}).items() if (n := _number(v)) is not None}
+    if placeholders and (spec.ranges or spec.unknown_labels or any(spec.letters.values())):
         raise LabelTableMissing("label or score conditions need the real label tables")
     return spec
 

@@ -40,13 +40,13 @@ def owners(turns: DataFrame, field: str, k: int = 8) -> DataFrame:
 def issues(turns: DataFrame) -> DataFrame:
     """issue, user_id, conversation_id, turn (null: the whole conversation) of the five kinds of damage.
 
-    trace_inconsistent: flags differ inside a conversation; trace_mismatch: the flag contradicts the number of turns;
+    trace_inconsistent: flags differ inside a conversation, or none of its turns has one; trace_mismatch: the flag contradicts the number of turns;
     turn_numbering: turns are not 1 to n; eval_on_first_turn; eval_missing: a later turn without a rating.
     """
     per = turns.groupBy(*KEYS).agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("turn").alias("d"), F.min("turn").alias("lo"), F.max("turn").alias("hi"), F.min("trace_matched").alias("t0"), F.max("trace_matched").alias("t1"), F.min("ordinal").alias("ordinal")
     )
-    of_conv = {"trace_inconsistent": F.col("t0") != F.col("t1"), "trace_mismatch": (F.col("t0") == F.col("t1")) & (F.col("t0") != (F.col("n") >= 2)), "turn_numbering": (F.col("d") != F.col("n")) | (F.col("lo") != 1) | (F.col("hi") != F.col("n"))}
+    of_conv = {"trace_inconsistent": F.col("t0").isNull() | (F.col("t0") != F.col("t1")), "trace_mismatch": (F.col("t0") == F.col("t1")) & (F.col("t0") != (F.col("n") >= 2)), "turn_numbering": (F.col("d") != F.col("n")) | (F.col("lo") != 1) | (F.col("hi") != F.col("n"))}
     of_turn = {"eval_on_first_turn": (F.col("turn") == 1) & is_followup(), "eval_missing": (F.col("turn") >= 2) & ~is_followup()}
 
     def marked(rows: DataFrame, tests: dict[str, Column], turn: Column) -> DataFrame:

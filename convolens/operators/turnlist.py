@@ -31,6 +31,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 except ValueError as e:
                     raise ValueError(f"{path}:{i}: {e}") from None
     for at, x in entries:
+        if not isinstance(x, dict):
+            raise ValueError(f"{at}: an object is needed, found {type(x).__name__}")
         conversation = x.get("conversation_id") or x.get("conv_id")
         if not conversation or x.get("turn") is None:
             raise ValueError(f"{at}: conversation_id and turn are needed, found {', '.join(sorted(x)) or 'nothing'}")
@@ -43,21 +45,33 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 def resolve(turns: DataFrame, refs: DataFrame) -> DataFrame:
     """refs with status ok, missing, no_turn, no_prior or ambiguous, and the owner's masked id where there is one.
 
-    A user id may be raw or masked. Without one the conversation id decides, if one user alone has it. The log is cut
-    to the listed conversations first, so its texts do not shuffle.
+    A user id may be raw or masked. Without one, or with one that fits nobody, the conversation id decides, if one
+    user alone has it. The log is cut to the listed conversations first, so its texts do not shuffle.
     """
     listed = turns.join(F.broadcast(refs.select("conversation_id").distinct()) if refs.count() <= 100_000 else refs.select("conversation_id").distinct(), "conversation_id", "left_semi")
     convs = listed.groupBy("conversation_id", "user_id").agg(F.first("user_id_raw").alias("raw"), F.collect_set("turn").alias("turns"))
-    owners = F.col("r.user_id").isNull() | (F.col("r.user_id") == F.col("c.user_id")) | (F.col("r.user_id") == F.col("c.raw"))
-    joined = refs.alias("r").join(convs.alias("c"), (F.col("r.conversation_id") == F.col("c.conversation_id")) & owners, "left")
-    found = joined.groupBy("r.place", "r.conversation_id", "r.turn", "r.user_id").agg(F.count("c.user_id").alias("owners"), F.min("c.user_id").alias("owner"), F.first("c.turns").alias("turns"))
-    has = lambda n: F.coalesce(F.array_contains("turns", n), F.lit(False))
-    status = F.when(F.col("owners") == 0, "missing").when(F.col("owners") > 1, "ambiguous").when(~has(F.col("turn")), "no_turn").when(~has(F.col("turn") - 1), "no_prior").otherwise("ok")
-    return found.select("place", "conversation_id", "turn", F.col("user_id"), "owner", status.alias("status"))
+    joined = refs.alias("r").join(convs.alias("c"), F.col("r.conversation_id") == F.col("c.conversation_id"), "left")
+    named = (F.col("r.user_id") == F.col("c.user_id")) | (F.col("r.user_id") == F.col("c.raw"))
+    one = F.struct(F.col("c.user_id").alias("owner"), F.col("c.turns").alias("turns"))
+    found = joined.groupBy("r.place", "r.conversation_id", "r.turn", "r.user_id").agg(F.count("c.user_id").alias("owners"), F.min(F.when(named, one)).alias("named"), F.min(F.when(F.col("c.user_id").isNotNull(), one)).alias("any"))
+    found = found.withColumn("own", F.coalesce("named", F.when(F.col("owners") == 1, F.col("any"))))
+    has = lambda n: F.coalesce(F.array_contains("own.turns", n), F.lit(False))
+    status = F.when(F.col("owners") == 0, "missing").when(F.col("own").isNull(), "ambiguous").when(~has(F.col("turn")), "no_turn").when(~has(F.col("turn") - 1), "no_prior").otherwise("ok")
+    return found.select("place", "conversation_id", "turn", F.col("user_id"), F.col("own.owner").alias("owner"), status.alias("status"))
 
 
-def select(turns: DataFrame, refs: DataFrame, history: int = 3) -> tuple[DataFrame, DataFrame]:
-    """(cases of the listed turns in list order, status of every reference). Recorded scores stay as they are.
+def steps(status: DataFrame) -> DataFrame:
+    """place, step, n_left, n_dropped of a turn list: all, those that the log lacks, those without a prior turn."""
+    lost, first = F.col("status").isin("missing", "no_turn"), F.col("status") == "no_prior"
+    counts = status.agg(F.count(F.lit(1)).alias("n"), F.count_if(lost).alias("lost"), F.count_if(first).alias("first"))
+    row = lambda i, name, left, dropped: F.struct(F.lit(i).alias("place"), F.lit(name).alias("step"), left.alias("n_left"), dropped.alias("n_dropped"))
+    n, gone, none = F.col("n"), F.col("lost"), F.col("first")
+    out = counts.select(F.inline(F.array(row(0, "listed", n, F.lit(0).cast("long")), row(1, "not in the log", n - gone, gone), row(2, "no prior turn", n - gone - none, none))))
+    return out.where("place = 0 or n_dropped > 0")
+
+
+def select(turns: DataFrame, refs: DataFrame, history: int = 3, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(cases of the listed turns in list order and at most `limit` of them, status of every reference). Recorded scores stay as they are.
 
     An ambiguous reference is an error: the list has to name its user.
     """
@@ -65,7 +79,8 @@ def select(turns: DataFrame, refs: DataFrame, history: int = 3) -> tuple[DataFra
     clash = status.where("status = 'ambiguous'").limit(1).collect()
     if clash:
         raise ValueError(f"conversation {clash[0].conversation_id} belongs to several users: name the user")
-    wanted = status.where("status = 'ok'").select("place", "conversation_id", F.col("owner").alias("user_id"), "turn")
+    fit = status.where("status = 'ok'")
+    wanted = (fit.orderBy("place").limit(limit) if limit else fit).select("place", "conversation_id", F.col("owner").alias("user_id"), "turn")
     some = turns.join(wanted.select("conversation_id", "user_id").distinct(), ["conversation_id", "user_id"], "left_semi")
     rows = cases.to_cases(cases.paired(some, history))
     return rows.join(wanted, ["conversation_id", "user_id", "turn"]).orderBy("place"), status

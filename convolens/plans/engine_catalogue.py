@@ -74,7 +74,7 @@ ORACLE_SQL = {
         WITH t AS (SELECT count(*) AS n FROM conversations), c AS (SELECT count(DISTINCT conv_id) AS n FROM conversations)
         SELECT * FROM ({_MISSING}
         UNION ALL SELECT 'turn', 'turn', 'range', (SELECT count(*) FROM conversations WHERE turn < 1), n, '' FROM t
-        UNION ALL SELECT 'turn', 'user_question', 'missing', (SELECT count(*) FROM conversations WHERE text IS NULL), n, '' FROM t
+        UNION ALL SELECT 'turn', 'user_question', 'missing', (SELECT CASE WHEN count(text) = 0 THEN count(*) ELSE 0 END FROM conversations), n, '' FROM t
         UNION ALL SELECT 'turn', 'user_question', 'null', (SELECT count(*) FROM conversations WHERE text = ''), n, '' FROM t
         UNION ALL SELECT 'turn', 'llm_eval_score', 'type', n, n, 'str' FROM t
         UNION ALL SELECT 'turn', 'extra', 'unknown', n, n, '' FROM t) WHERE n > 0

@@ -119,3 +119,13 @@ def test_passages_of_all_shapes(spark):
     }
     rows = spark.createDataFrame([(v,) for v in given], "v string").select("v", conversation_log.passages(F.parse_json("v")).alias("p")).collect()
     assert {r.v: r.p for r in rows} == given
+
+
+def test_wide_figures_and_blanks(spark):
+    texts = {"2026년 2월 30일": "violated", "２０２６년 ２월 ２８일": "ok", "2026-02-30": "violated"}
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", checks.dates(F.col("t")).alias("v")).collect()
+    assert {r.t: r.v for r in rows} == texts
+    lists = [("１. a\n２. b", "numbered_list", True), ("• a\n• b", "bullet_list", True), ('{"a":1}\n```', "json", False), ('```json\n{"a":1}\n```', "json", True)]
+    lists += [(t, "json", e) for t, e in (('{"a":1} x', False), ('{"a":1,"a":2}', True), ('{"a":NaN}', True), ("[1,2", False), ("5", True), ('"x"', True), ('1,"y":2', False), ("1,2", False), ("{'a':1}", False), ("", False), (None, False), ('],"z":[', False))]
+    got = spark.createDataFrame(lists, "t string, k string, e boolean").select("e", checks.has_format(F.col("t"), F.col("k")).alias("v")).collect()
+    assert all(r.e == r.v for r in got), [r for r in got if r.e != r.v]

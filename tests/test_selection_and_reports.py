@@ -42,7 +42,11 @@ def test_label_tables(spark):
 
 
 def test_filter_parts():
-    assert filters.turn_buckets(["1-5 턴", "10~6", "51 턴 이상", "3 이하", "4", "2-", "", "x"]) == [(1, 5), (6, 10), (51, math.inf), (1, 3), (4, 4), (2, math.inf)]
+    assert filters.turn_buckets(["1-5 턴", "10~6", "51 턴 이상", "3 이하", "4", "2-", "제2조 3-5 턴", "3 이상 5 이하", "1 2", "", "x"]) == [(1, 5), (6, 10), (51, math.inf), (1, 3), (4, 4), (2, 2), (3, 5), (3, math.inf)]
+    assert filters.as_range("12") is None and filters.as_range([2, "1"]) == (1.0, 2.0)
+    assert filters.parse({"query_scores": {"A": "x", "B": "7"}}, TABLE, TABLE).scores == {"A": 90.0, "B": 7.0}
+    with pytest.raises(filters.LabelTableMissing):
+        filters.parse({"eval_labels": ["no such"], "query_scores": {"A": 1}}, {}, {}, placeholders=True)
     assert filters.as_set("전체") == filters.as_set(None) == set() and filters.as_set({"a": {}}) == {"a"} and filters.as_set(["a ", "all"]) == {"a"}
     assert filters.as_range([5, "1"]) == (1.0, 5.0) and filters.as_range([1]) is None and filters.as_range("ab") is None
     with pytest.raises(filters.LabelTableMissing):
@@ -71,9 +75,16 @@ def test_turn_lists(spark, turns, tmp_path):
     assert {r.place: r.status for r in turnlist.resolve(turns, refs).collect()} == {0: "ok", 1: "ambiguous", 2: "no_turn", 3: "missing", 4: "no_prior"}
     with pytest.raises(ValueError, match="several users"):
         turnlist.select(turns, refs)
+    assert {r.step: (r.n_left, r.n_dropped) for r in turnlist.steps(turnlist.resolve(turns, refs)).collect()} == {"listed": (5, 0), "not in the log": (3, 2), "no prior turn": (2, 1)}
+    # a user id that fits nobody leaves the decision to the conversation
+    strange = refs.withColumn("user_id", F.lit("nobody"))
+    assert {r.status for r in turnlist.resolve(turns, strange).collect()} == {"ambiguous", "missing"}
+    single = turns.where(F.col("user_id_raw") == "u1")
+    assert {r.place: r.status for r in turnlist.resolve(single, strange).collect()}[0] == "ok"
+    assert turnlist.select(turns, refs.where("place <> 1"), limit=1)[0].count() == 1
     rows, status = turnlist.select(turns, refs.where("place <> 1"))
     assert [r.current_query for r in rows.collect()] == ["q2"] and status.count() == 4
-    for text, said in (("", "no turns"), ('{"turn": 1}', ":1: conversation_id"), ("{", ":1")):
+    for text, said in (("", "no turns"), ('{"turn": 1}', ":1: conversation_id"), ("{", ":1"), ("[5]", "0.: an object")):
         path.write_text(text)
         with pytest.raises(ValueError, match=said):
             turnlist.read(spark, str(path))
@@ -83,7 +94,7 @@ def test_turn_lists(spark, turns, tmp_path):
 
 def test_contract(spark, logs):
     found = {(r.layer, r.field, r.kind): (r.n, r.note) for r in contracts.report(logs).collect()}
-    assert found["turn", "odd", "unknown"] == (1, "") and found["conversation", "conversation_id", "missing"] == (1, "") and found["turn", "llm_eval_score", "type"] == (1, "str")
+    assert found["turn", "odd", "unknown"] == (1, "") and ("conversation", "conversation_id", "missing") not in found and found["turn", "llm_eval_score", "type"] == (1, "str")
     assert ("turn", "turn", "range") not in found and ("turn", "llm_eval_score", "null") not in found
     assert {r.layer: r.n for r in contracts.shape(logs).collect()} == {"user": 2, "conversation": 3, "turn": 7}
     bad = spark.createDataFrame([(json.dumps({"data": [{"user_id": "", "conversations": [{"conversation_id": "c", "turns": [turn(0, score=200, retrieved_data=7)]}]}]}),)], "value string")
@@ -112,7 +123,7 @@ def flat(spark):
 
 def test_bi_tables(spark, flat):
     n = flat.count()
-    assert len(flat.columns) == 24 and n > 30
+    assert len(flat.columns) == 25 and n > 30
     health = bi.health(flat).first()
     assert health.n == n and health.error > 0 and health.n_dropped > 0 and health.low_share == 0.0
     table = bi.crosstab(flat, "dept").collect()
@@ -123,7 +134,7 @@ def test_bi_tables(spark, flat):
     assert scores == sorted(scores, reverse=True) and scores[0] >= 4
     assert [bi.ordered(flat, x).count() for x in ("case", "confidence", "log")] == [n] * 3
     gap = bi.gaps(flat).first()
-    assert gap.missing == "the form" and gap.n == flat.where("case_id = 'case20'").count()
+    assert gap.need == "n" and gap.n == flat.where("case_id = 'case20'").count()
     assert sum(r.n for r in bi.stacked(flat).collect()) == n and bi.failures(flat).count() > 0 and bi.kinds(flat).count() > 1
 
 
