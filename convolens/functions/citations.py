@@ -51,19 +51,25 @@ def automaton(text: str) -> tuple[list[dict[str, int]], list[int], list[int]]:
 
 def longest_common(text: str, other: str, machine: tuple | None = None) -> int:
     """Length of the longest string that stands in both; linear in their lengths."""
+    return len(longest_part(text, other, machine))
+
+
+def longest_part(text: str, other: str, machine: tuple | None = None) -> str:
+    """The longest string that stands in both, the first such in the other."""
     if text in other:
-        return len(text)
+        return text
     steps, longest, link = machine or automaton(text)
-    state = length = best = 0
-    for c in other:
+    state = length = best = end = 0
+    for at, c in enumerate(other, 1):
         while c not in steps[state] and state:
             state = link[state]
             length = longest[state]
         if c in steps[state]:
             state = steps[state][c]
             length += 1
-            best = length if length > best else best
-    return best
+            if length > best:
+                best, end = length, at
+    return other[end - best : end]
 
 
 @F.pandas_udf(ArrayType(ArrayType(IntegerType())))

@@ -8,6 +8,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from convolens.operators import crosstab as crosstabs
 from convolens.plans import routing, taxonomy
 
 #: Points of a turn in the review order: dropped quotes, low confidence, no case, further cases.
@@ -97,6 +98,20 @@ def crosstab(rows: DataFrame, axis: str) -> DataFrame:
     return counts.orderBy(F.desc("all_rows"), F.desc("total"), axis).withColumn(axis, F.when(F.col("all_rows") == 1, "(all)").otherwise(F.col(axis))).drop("all_rows")
 
 
+def case_order(spark: SparkSession) -> list[str]:
+    """The cases by type and number, then those outside the taxonomy and errors."""
+    rows = routing.taxonomy(spark).select("type", "case").collect()  # 30 rows
+    return [r.case for r in sorted(rows, key=lambda r: (r.type, int(r.case[4:])))] + [routing.OUTSIDE, routing.UNCLASSIFIED, "error"]
+
+
+def pivot(rows: DataFrame, axis: str, column: str = "case_id", values: list[str] | None = None) -> DataFrame:
+    """Any column against the cases, the types, or another column whose values are given; see `crosstab.pivot`."""
+    if values is None:
+        cases = case_order(rows.sparkSession)
+        values = cases if column == "case_id" else [f"TYPE{i}" for i in range(len(taxonomy.TYPE_NAMES))]
+    return crosstabs.pivot(rows, axis, column, values)
+
+
 def suspect_first(rows: DataFrame) -> DataFrame:
     """rows with `suspicion`: what a reviewer should look at first."""
     times = {"dropped": F.coalesce("n_dropped", F.lit(0)), "low": (F.col("confidence") == "low").cast("int"), "unclassified": _no_case().cast("int"), "secondary": (F.size("secondary") > 0).cast("int")}

@@ -5,11 +5,12 @@ from __future__ import annotations
 import uuid
 
 import pandas as pd
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from convolens.functions import citations
+from convolens.functions import citations, evidence
 from convolens.functions.answer_checks import squeeze
-from convolens.operators import consistency, profile, ranks
+from convolens.operators import bi, consistency, crosstab, observed, profile, ranks
 from convolens.operators.stages import folder, settle
 from convolens.plans import catalogue
 from convolens.sources import conversation_log, large_log
@@ -100,11 +101,62 @@ def pareto_cover(spark, sf_dir):
     return ranks.cover(ranks.ranked(counts, [F.desc("n"), F.col("label")])).select(F.col("place").cast("long").alias("place"), "covered")
 
 
-QUERIES = {f.__name__: f for f in (streamed_pairs, log_damage, large_log_turns, changed_answers, citation_ratios, hot_quantiles, label_ranks, pareto_cover)}
+def label_shares(spark, sf_dir):
+    """Priorities by nation with row shares, margins and the whole from one pass of grouping sets."""
+    return crosstab.shares(catalogue._orders_by_nation(spark, sf_dir), "n_name", "o_orderpriority")
+
+
+def case_pivot(spark, sf_dir):
+    """Orders as classified turns, with a case by their number, against priorities; the columns in the taxonomy's order."""
+    cases = F.concat(F.lit("case"), (F.col("o_orderkey") % 33).cast("string"))
+    table = bi.pivot(_t(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("dept"), cases.alias("case_id")), "dept")
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy((F.col("dept") != "■ 전체").cast("int"), F.desc("total"), "dept"))  # a few departments
+    return table.select("dept", "case0", "case7", "case29", "others", "total", place.cast("long").alias("place"))
+
+
+def observed_steps(spark, sf_dir):
+    """What two conditions left of `lineitem`, counted while the rows that pass are written."""
+    wanted = {"returned": F.col("l_returnflag") == "R", "large": F.col("l_quantity") > 25}
+    kept, seen = observed.filtered(_t(spark, sf_dir, "lineitem"), wanted)
+    kept.write.parquet(f"{folder(spark)}/observed-{uuid.uuid4().hex}")
+    return observed.steps(spark, seen, wanted)
+
+
+def evidence_rows(spark, sf_dir):
+    """Quotes of benchmark items against documents by a lateral join with the table function; the parts that both share."""
+    evidence.register(spark)
+    items = _t(spark, sf_dir, "benchmark").where("item_id < 40").select("item_id", F.array(F.substring("text", 1, 20), F.substring("text", 30, 25)).alias("quotes"))
+    docs = _t(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.join(F.broadcast(items), F.col("doc_id") % 40 == F.col("item_id"))  # 40 items
+    found = spark.sql("SELECT doc_id, e.* FROM {rows} AS r, LATERAL evidence(r.quotes, r.text) AS e", rows=rows)
+    return found.select("doc_id", "quote_no", F.col("length").cast("long").alias("length"), "kept")
+
+
+QUERIES = {f.__name__: f for f in (label_shares, case_pivot, observed_steps, evidence_rows, streamed_pairs, log_damage, large_log_turns, changed_answers, citation_ratios, hot_quantiles, label_ranks, pareto_cover)}
 
 _SHOWN = "SELECT *, conv_id % 7 = 3 AS no_user, conv_id % 4 = 0 AND turn = 0 AS oops FROM conversations"
 
 ORACLE_SQL = {
+    "label_shares": """
+        WITH r AS (SELECT n_name, o_orderpriority FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+        c AS (SELECT n_name, o_orderpriority, count(*) AS n, GROUPING(n_name, o_orderpriority) AS level FROM r GROUP BY CUBE (n_name, o_orderpriority))
+        SELECT n_name, o_orderpriority, n, n / CASE level WHEN 0 THEN sum(n) FILTER (level = 0) OVER (PARTITION BY n_name) ELSE (SELECT count(*) FROM r) END AS share, level FROM c
+    """,
+    "case_pivot": """
+        WITH t AS (SELECT o_orderpriority AS dept, o_orderkey % 33 AS c FROM orders),
+        p AS (SELECT coalesce(dept, '■ 전체') AS dept, count(*) FILTER (c = 0) AS case0, count(*) FILTER (c = 7) AS case7, count(*) FILTER (c = 29) AS case29, count(*) FILTER (c > 29) AS others, count(*) AS total FROM t GROUP BY ROLLUP (dept))
+        SELECT *, row_number() OVER (ORDER BY dept <> '■ 전체', total DESC, dept) AS place FROM p
+    """,
+    "observed_steps": """
+        WITH c AS (SELECT count(*) AS a, count(*) FILTER (l_returnflag = 'R') AS b, count(*) FILTER (l_returnflag = 'R' AND l_quantity > 25) AS c FROM lineitem)
+        SELECT 'returned' AS step, 1 AS position, b AS remaining, a - b AS dropped FROM c UNION ALL SELECT 'large', 2, c, b - c FROM c
+    """,
+    "evidence_rows": """
+        WITH b AS (SELECT item_id, unnest([left(text, 20), substr(text, 30, 25)]) AS quote, unnest([0, 1]) AS quote_no FROM benchmark WHERE item_id < 40),
+        s AS (SELECT DISTINCT item_id, quote_no, quote, substr(quote, i, k) AS part, k FROM b, (SELECT unnest(range(1, 26)) AS i), (SELECT unnest(range(1, 26)) AS k) WHERE i + k <= length(quote) + 1),
+        m AS (SELECT doc_id, quote_no, quote, coalesce(max(k) FILTER (contains(coalesce(text, ''), part)), 0) AS length FROM documents JOIN s ON doc_id % 40 = item_id GROUP BY ALL)
+        SELECT doc_id, quote_no, length, length(quote) >= 8 AND length / length(quote) >= 0.9 AS kept FROM m
+    """,
     "streamed_pairs": catalogue._PAIRS,
     "log_damage": f"""
         WITH s AS ({_SHOWN})

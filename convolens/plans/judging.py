@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
 from convolens.functions.answer_checks import FORMAT_KINDS, LENGTH_KINDS
+from convolens.plans import answers
 
 #: The closed domains of an observation and of the two judgments.
 TARGETS = ("none", "tone", "format", "language", "length", "content_missing", "content_wrong", "no_answer", "refusal", "inconsistency", "other")
@@ -165,29 +166,16 @@ def prompt_key(stage: str, judge: str, user: Column) -> Column:
     return F.substring(F.sha2(F.concat_ws("\0", F.lit(stage), F.lit(judge), F.lit(SYSTEM[stage]), user), 256), 1, 24)
 
 
-ANSWERS = "stage string, key string, answer string, error string, tokens_in long, tokens_out long"
-
-
-def read_cache(spark, path: str | None) -> DataFrame:
-    if path:
-        try:
-            return spark.read.schema(ANSWERS).parquet(path)
-        except Exception as e:  # a cache that does not exist yet
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-    return spark.createDataFrame([], ANSWERS)
-
-
 def ask(rows: DataFrame, stage: str, judge, cache: str | None = None) -> DataFrame:
     """rows with answer (struct of the stage's schema), error, called, tokens_in and tokens_out as struct `stage`_reply.
 
-    Each distinct prompt that the cache lacks is put once, in parallel over the partitions; valid answers are added
-    to the cache. Several rows with one prompt share the answer, and the first of them, by case_id, has the call.
+    Each distinct prompt that the cache lacks is put once, in parallel over the partitions; the answers are added to
+    the cache in one write. Several rows with one prompt share the answer, and the first of them, by case_id, has the
+    call. The cache is read, asked for and written under a claim, so that runs side by side put no prompt twice.
     """
     schema = STAGES[stage]
     keyed = rows.withColumn("__prompt", prompt(stage)).withColumn("__key", prompt_key(stage, judge.name, F.col("__prompt")))
-    known = read_cache(rows.sparkSession, cache).where(F.col("stage") == stage).dropDuplicates(["key"]).withColumn("cached", F.lit(True))
-    todo = keyed.groupBy(F.col("__key").alias("key")).agg(F.first("__prompt").alias("prompt")).join(known.select("key"), "key", "left_anti")
+    spark = rows.sparkSession
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -197,22 +185,25 @@ def ask(rows: DataFrame, stage: str, judge, cache: str | None = None) -> DataFra
                     out.append((stage, key, *ask_until_valid(judge, SYSTEM[stage], user, schema), None))
                 except Exception as e:  # one prompt's failure is that prompt's result
                     out.append((stage, key, None, 0, 0, f"[{stage}] {type(e).__name__}: {e}"))
-            yield pd.DataFrame(out, columns=["stage", "key", "answer", "tokens_in", "tokens_out", "error"])[[x.split()[0] for x in ANSWERS.split(", ")]]
+            yield pd.DataFrame(out, columns=["stage", "key", "answer", "tokens_in", "tokens_out", "error"])[[x.split()[0] for x in answers.ANSWERS.split(", ")]]
+
+    def both() -> tuple[DataFrame, DataFrame]:
+        known = answers.read(spark, cache).where(F.col("stage") == stage)
+        todo = keyed.groupBy(F.col("__key").alias("key")).agg(F.first("__prompt").alias("prompt")).join(known.select("key"), "key", "left_anti")
+        return known, todo.mapInPandas(run, answers.ANSWERS)
 
-    fresh = todo.mapInPandas(run, ANSWERS)
     if cache:
-        # answers that failed are asked anew by the next run; what was written is read back, so no prompt is put twice
-        asked = f"{cache.rstrip('/')}-asked-{stage}"
-        fresh.write.mode("overwrite").parquet(asked)
-        fresh = rows.sparkSession.read.schema(ANSWERS).parquet(asked)
-        fresh.where("error is null").write.mode("append").parquet(cache)
-        known = known.join(fresh.select("key"), "key", "left_anti")
-    answers = known.unionByName(fresh.withColumn("cached", F.lit(False)))
+        with answers.claim(spark, cache, stage):
+            known, fresh = both()
+            fresh = answers.add(fresh, cache)  # read back, so no prompt is put twice
+    else:
+        known, fresh = both()
+    replies = known.withColumn("cached", F.lit(True)).unionByName(fresh.withColumn("cached", F.lit(False)))
     first = keyed.groupBy(F.col("__key").alias("key")).agg(F.min("case_id").alias("first"))
     reply = F.struct(
         F.from_json("answer", spark_type(schema)).alias("answer"), "error", (~F.col("cached") & (F.col("first") == F.col("case_id"))).alias("called"),
         F.when(F.col("first") == F.col("case_id"), F.when(F.col("cached"), 0).otherwise(F.col("tokens_in"))).otherwise(0).alias("tokens_in"),
         F.when(F.col("first") == F.col("case_id"), F.when(F.col("cached"), 0).otherwise(F.col("tokens_out"))).otherwise(0).alias("tokens_out"),
     )
-    joined = keyed.join(answers.join(first, "key").withColumnRenamed("key", "__key").drop("stage"), "__key", "left")
+    joined = keyed.join(replies.join(first, "key").withColumnRenamed("key", "__key").drop("stage"), "__key", "left")
     return joined.select(*[F.col(c) for c in rows.columns], reply.alias(f"{stage}_reply"))
