@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from convolens.functions import text_checks
 from convolens.operators import crosstab, profile, turns
-from convolens.plans import analysis_catalogue, catalogue, checks_catalogue, engine_catalogue
+from convolens.plans import analysis_catalogue, catalogue, checks_catalogue, engine_catalogue, log_catalogue
 
-QUERIES = catalogue.QUERIES | checks_catalogue.QUERIES | engine_catalogue.QUERIES | analysis_catalogue.QUERIES
-ORACLE_SQL = catalogue.ORACLE_SQL | checks_catalogue.ORACLE_SQL | engine_catalogue.ORACLE_SQL | analysis_catalogue.ORACLE_SQL
+QUERIES = catalogue.QUERIES | checks_catalogue.QUERIES | engine_catalogue.QUERIES | analysis_catalogue.QUERIES | log_catalogue.QUERIES
+ORACLE_SQL = catalogue.ORACLE_SQL | checks_catalogue.ORACLE_SQL | engine_catalogue.ORACLE_SQL | analysis_catalogue.ORACLE_SQL | log_catalogue.ORACLE_SQL
 SF = "/root/testdata/sf0.001"
 
 
