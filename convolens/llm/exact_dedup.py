@@ -85,10 +85,17 @@ def possibly_repeated(rows: DataFrame, bitmaps: DataFrame, bits: int, digest: st
     return out.select("row", (_bit("bitmap1", first) & _bit("bitmap2", second)).alias("maybe"))
 
 
-def _tested(rows: DataFrame, digests: DataFrame, n: int) -> DataFrame:
-    """`possibly_repeated` of rows, by a filter over the same rows' digests (column sha)."""
-    bitmaps, bits = repeat_filter(digests, "sha", n)
-    return possibly_repeated(rows, materialise(bitmaps, "repeats"), bits, "sha")
+def _tested(parts: list[tuple[DataFrame, int]], digests: DataFrame | None = None) -> DataFrame:
+    """`possibly_repeated` of all rows, each part by a filter over its digests (column sha); a single part's may be given.
+
+    Of several parts each is written before the next filter is made, so one filter at a time is broadcast.
+    """
+    found = []
+    for rows, n in parts:
+        bitmaps, bits = repeat_filter(digests if digests is not None and len(parts) == 1 else rows.select("sha"), "sha", n)
+        tested = possibly_repeated(rows, materialise(bitmaps, "repeats"), bits, "sha")
+        found.append(tested if len(parts) == 1 else materialise(tested, "tested"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def decisions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -99,7 +106,7 @@ def decisions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     """
     digests = materialise(docs.select(F.col(doc_id).alias("doc_id"), F.sha2(normalised(text), 256).alias("sha"), F.length(text_of(text)).alias("length"), F.monotonically_increasing_id().alias("number")), "digests")
     n = digests.count()
-    tested = reduce(DataFrame.unionByName, [_tested(rows, rows.select("sha"), m) for rows, m in slices(digests, "sha", n)])
+    tested = _tested(slices(digests, "sha", n))
     single = tested.where(~F.col("maybe")).select("row.doc_id", F.col("row.doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("row.sha").alias("text_sha256"))
     maybe = materialise(tested.where("maybe").select("row.*"), "maybe")
     best = F.min(F.struct((-F.col("length")).alias("length"), F.col("doc_id").alias("id"), F.col("number").alias("number")))
@@ -118,8 +125,7 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     tagged = docs.select(F.struct("*").alias("doc"), F.sha2(normalised(text), 256).alias("sha"))
     digests = materialise(tagged.select("sha"), "digests")
     n = digests.count()
-    parts = slices(tagged, "sha", n)
-    tested = reduce(DataFrame.unionByName, [_tested(rows, digests if len(parts) == 1 else rows.select("sha"), m) for rows, m in parts])
+    tested = _tested(slices(tagged, "sha", n), digests)
     order = F.struct(-F.length(text_of(f"row.doc.{text}")), F.col(f"row.doc.{doc_id}"))
     best = tested.where("maybe").groupBy("row.sha").agg(F.min_by("row.doc", order).alias("doc"))
     return tested.where(~F.col("maybe")).select("row.doc.*").unionByName(best.select("doc.*"))
