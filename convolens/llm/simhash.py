@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from convolens.llm import shingles
-from convolens.llm.common import attach, materialise, within
+from convolens.llm.common import attach, discard, materialise, within
 from convolens.llm.components import components
 
 #: Points above which a cell is dealt to several tasks, by blocks of this many.
@@ -179,8 +179,9 @@ def near_links(points: DataFrame, distance: int = 3) -> DataFrame:
     fixed = 2 + sum(n > x for x in FEW_POINTS)
     cells = F.explode(F.array(*[F.xxhash64(F.lit(i), F.col("point").bitwiseAND(F.lit(m))) for i, m in _cells(distance, fixed)]))
     rows = points.select("fp", _points(F.col("fp")).alias("point")).select("fp", cells.alias("cell"))
-    sizes = rows.groupBy("cell").count().where("count > 1").select("cell", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
-    shared = materialise(rows.join(sizes, "cell"), "cells")
+    sizes = materialise(rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("cell", "n", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "cell-sizes")
+    shared = materialise(attach(rows, sizes, "cell", n * len(_cells(distance, fixed)), "n").drop("n"), "cells")
+    discard(sizes)
     plain = shared.where("blocks = 1").select("cell", "fp", F.lit(0).cast("tinyint").alias("side"))
     # large cells: every pair of blocks is a cell of its own
     block = F.pmod(F.xxhash64("fp", F.lit(1)), F.col("blocks")).cast("int")
