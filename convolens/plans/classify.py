@@ -11,6 +11,8 @@ from convolens.plans import judging, routing
 
 #: Complaints about content, which passages can settle; fixed values.
 CONTENT = ("content_missing", "content_wrong")
+#: The judge's steps of a classification in order.
+STEPS = ("observe", "sufficiency", "grounding")
 
 
 def _reply(stage: str):
@@ -38,17 +40,22 @@ def classify(cases: DataFrame, judge, cache: str | None = None) -> DataFrame:
     # without a passage there is nothing to ask and nothing to cite
     empty = F.struct(F.lit("no passage was retrieved").alias("reasoning"), F.array().cast(citations.EVIDENCE).alias("evidence"), F.lit("insufficient").alias("verdict"), F.col("obs.unmet_need").alias("missing"))
     rows = rows.withColumn("judgment", F.when(content & ~has_passages, empty).otherwise(F.col("sufficiency_reply.answer")))
+    rows = grounded(rows, judge, cache)
+    rows = rows.withColumn("error", F.coalesce(*[F.col(f"{s}_reply.error") for s in STEPS]))
+    rows = rows.withColumn("complaint", F.when(F.col("obs.complaint_target") == "none", citations.verify_complaint(answer_checks.nfkc(F.col("obs.complaint_quote")), answer_checks.nfkc(F.col("current_query")))))
+    rows = _with_checks(rows)
+    return settle(_routed(rows))
+
+
+def grounded(rows: DataFrame, judge, cache: str | None) -> DataFrame:
+    """rows with citation (the judgment's quotes verified), n_kept, and the grounding of sufficient verdicts with a kept quote."""
     folded = rows.withColumns({"__passages": _compared("rag_chunks"), "__evidence": _compared_quotes()})
     checked = citations.verify(F.col("__evidence"), F.col("__passages"))
     # quotes are given back as the judge wrote them
     as_written = F.zip_with("citation", F.col("judgment.evidence"), lambda c, e: c.withField("quote", e["quote"]))
     rows = folded.withColumn("citation", F.when(F.col("judgment").isNotNull(), checked)).withColumn("citation", as_written).drop("__passages", "__evidence")
     rows = rows.withColumn("n_kept", F.when(F.col("citation").isNotNull(), F.size(citations.kept(F.col("citation"))).cast("long")))
-    rows = _step(rows, (F.col("judgment.verdict") == "sufficient") & (F.col("n_kept") > 0), "grounding", judge, cache).withColumn("grounding", F.col("grounding_reply.answer.answer_used_rag"))
-    rows = rows.withColumn("error", F.coalesce(*[F.col(f"{s}_reply.error") for s in judging.STAGES]))
-    rows = rows.withColumn("complaint", F.when(F.col("obs.complaint_target") == "none", citations.verify_complaint(answer_checks.nfkc(F.col("obs.complaint_quote")), answer_checks.nfkc(F.col("current_query")))))
-    rows = _with_checks(rows)
-    return settle(_routed(rows))
+    return _step(rows, (F.col("judgment.verdict") == "sufficient") & (F.col("n_kept") > 0), "grounding", judge, cache).withColumn("grounding", F.col("grounding_reply.answer.answer_used_rag"))
 
 
 def _compared(name: str):
@@ -81,7 +88,7 @@ def _routed(rows: DataFrame) -> DataFrame:
         (~F.col("complaint.verified")).alias("complaint_unverified"), F.col("judgment.verdict").alias("verdict"), F.col("grounding").alias("grounding"), "n_kept", F.size("rag_chunks").cast("long").alias("n_chunks"),
     )
     routed = routing.route(inputs)
-    called = lambda field, zero: sum([F.coalesce(F.col(f"row.{s}_reply.{field}").cast("long"), F.lit(zero)) for s in judging.STAGES], F.lit(0))
+    called = lambda field, zero: sum([F.coalesce(F.col(f"row.{s}_reply.{field}").cast("long"), F.lit(zero)) for s in STEPS], F.lit(0))
     keep = [F.col(f"row.{c}") for c in rows.columns if not c.endswith("_reply") and c != "n_kept"]
     done = F.col("row.error").isNull()
     return routed.select(

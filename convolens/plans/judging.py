@@ -22,6 +22,7 @@ from convolens.plans import answers
 TARGETS = ("none", "tone", "format", "language", "length", "content_missing", "content_wrong", "no_answer", "refusal", "inconsistency", "other")
 DOMAINS = ("domain", "general_knowledge", "calculation", "code", "tool_usage", "unclear")
 HISTORY_USE = ("not_needed", "used", "ignored")
+COMPLAINTS = ("content_gap", "wrong_content", "format_or_style", "other")
 VERDICTS, GROUNDINGS = ("sufficient", "partial", "insufficient"), ("used", "ignored", "contradicted")
 
 #: Field names of the judge's answers in order. A tuple is a closed domain; reasoning comes first.
@@ -32,13 +33,15 @@ OBSERVATION = {
 }
 SUFFICIENCY = {"reasoning": str, "evidence": [{"chunk_index": int, "quote": str}], "verdict": VERDICTS, "missing": str}
 GROUNDING = {"reasoning": str, "answer_used_rag": GROUNDINGS}
-STAGES = {"observe": OBSERVATION, "sufficiency": SUFFICIENCY, "grounding": GROUNDING}
+NEED = {"reasoning": str, "resolved_question": str, "unmet_need": str, "complaint_type": COMPLAINTS, "context_dependent": bool}
+STAGES = {"observe": OBSERVATION, "need": NEED, "sufficiency": SUFFICIENCY, "grounding": GROUNDING}
 #: Attempts at an answer that fits its schema; each failure is told to the next one.
 ATTEMPTS = 3
 
 #: What the judge is told. The question's passages are withheld from the first step, the answer from the second, the question from the third.
 SYSTEM = {
     "observe": "You read one reaction of a user to the answer of an assistant and report what can be observed. Do not judge whose fault it is. Quote the words that show the complaint exactly as written.",
+    "need": "You read one reaction of a user to the answer of an assistant and say what the user still needs and what kind of complaint it is. Spell out what the question refers to in earlier ones.",
     "sufficiency": "You judge whether the numbered passages hold what the user needed. Cite each passage that supports your verdict with its number and its exact words. Do not use other knowledge.",
     "grounding": "You judge whether the answer uses the numbered passages, ignores them or contradicts them.",
 }
@@ -153,8 +156,10 @@ def _numbered(passages: Column) -> Column:
 def prompt(stage: str) -> Column:
     """The user message of a stage, from the columns of a case and of its observation."""
     part = lambda title, c: F.concat(F.lit(f"# {title}\n"), F.coalesce(c, F.lit("")))
+    turn = lambda: [part("Earlier questions", F.array_join("pre_queries", "\n")), part("Answer", F.col("llm_ans_on_last_q")), part("Reaction", F.col("current_query"))]
     parts = {
-        "observe": lambda: [part("Earlier questions", F.array_join("pre_queries", "\n")), part("Answer", F.col("llm_ans_on_last_q")), part("Reaction", F.col("current_query"))],
+        "observe": turn,
+        "need": turn,
         "sufficiency": lambda: [part("Question", F.col("obs.resolved_question")), part("What the user did not get", F.col("obs.unmet_need")), part("Passages", _numbered(F.col("rag_chunks")))],
         "grounding": lambda: [part("Answer", F.col("llm_ans_on_last_q")), part("Passages", _numbered(F.col("rag_chunks")))],
     }
