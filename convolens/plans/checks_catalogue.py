@@ -135,6 +135,31 @@ def org_coverage(spark, sf_dir):
     return hierarchy.coverage(_t(spark, sf_dir, "supplier"), "s_nationkey", _tree(spark, sf_dir))
 
 
+def _customers(spark, sf_dir):
+    """Customers as items below their nation and region."""
+    tree = _tree(spark, sf_dir).withColumnRenamed("item", "nation")
+    return _t(spark, sf_dir, "customer").join(F.broadcast(tree), F.col("c_nationkey") == F.col("nation")).select(F.col("c_custkey").alias("item"), "middle", "major")  # nations are a few
+
+
+def org_coverage_events(spark, sf_dir):
+    """Users of events against all customers; most customers are used by no event."""
+    return hierarchy.coverage(_t(spark, sf_dir, "events"), "user_id", _customers(spark, sf_dir))
+
+
+def _event_customers(spark, sf_dir):
+    return _customers(spark, sf_dir).join(_t(spark, sf_dir, "events").select(F.col("user_id").alias("item")), "item", "left_semi")
+
+
+def org_coverage_orders(spark, sf_dir):
+    """Customers of orders against those that events know; the others are unmapped."""
+    return hierarchy.coverage(_t(spark, sf_dir, "orders"), "o_custkey", _event_customers(spark, sf_dir))
+
+
+def org_rollup_orders(spark, sf_dir):
+    """Orders by region of the customers that events know; the orders of all others are unmapped."""
+    return hierarchy.rollup(_t(spark, sf_dir, "orders"), "o_custkey", _event_customers(spark, sf_dir), "major")
+
+
 def org_field_detect(spark, sf_dir):
     tree = _tree(spark, sf_dir).select(F.col("item").cast("string").alias("item"))
     return hierarchy.match_rates(_t(spark, sf_dir, "customer"), ["c_nationkey", "c_mktsegment", "c_custkey"], tree)
@@ -191,7 +216,7 @@ def events_sessions(spark, sf_dir):
 
 _ALL = (
     lang_check, text_measure, format_check, service_error_check, arithmetic_check, date_check, sql_shape_check, injection_check, quote_check, expected_score, label_resolve, filter_steps,
-    turnlist_status, nested_output, log_roundtrip, org_rollup, org_coverage, org_field_detect, corpus_gaps, scoring_accuracy, route_matrix, taxonomy, events_tumbling, events_sessions,
+    turnlist_status, nested_output, log_roundtrip, org_rollup, org_coverage, org_coverage_events, org_coverage_orders, org_rollup_orders, org_field_detect, corpus_gaps, scoring_accuracy, route_matrix, taxonomy, events_tumbling, events_sessions,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 
@@ -200,6 +225,8 @@ _COUNT = "len(regexp_extract_all(coalesce(text, ''), '{}'))"
 _BARE = rf"regexp_replace(x, '{BLANK}+', '', 'g')"
 _PLANTS = " ".join(f"WHEN {i} THEN '{text}'" for i, (_, text) in enumerate(_PLANTED))
 _TREE = "(SELECT n_nationkey AS item, n_name AS middle, r_name AS major FROM nation JOIN region ON n_regionkey = r_regionkey)"
+_CUSTOMERS = f"(SELECT c_custkey AS item, middle, major FROM customer JOIN {_TREE} ON item = c_nationkey)"
+_KNOWN = f"(SELECT * FROM {_CUSTOMERS} WHERE item IN (SELECT user_id FROM events))"
 _FOLDED = rf"lower(regexp_replace(COLUMN, '{BLANK}+', '', 'g'))"
 _PLAIN = "translate(coalesce(text, ''), '\"“”‘’''', '')"
 
@@ -272,6 +299,15 @@ ORACLE_SQL = {
         SELECT 'unmapped' AS kind, item FROM (SELECT DISTINCT s_nationkey AS item FROM supplier EXCEPT SELECT item FROM {_TREE})
         UNION ALL SELECT 'unused', item FROM (SELECT item FROM {_TREE} EXCEPT SELECT s_nationkey FROM supplier)
     """,
+    "org_coverage_events": f"""
+        SELECT 'unmapped' AS kind, item FROM (SELECT user_id AS item FROM events WHERE user_id IS NOT NULL EXCEPT SELECT item FROM {_CUSTOMERS})
+        UNION ALL SELECT 'unused', item FROM (SELECT item FROM {_CUSTOMERS} EXCEPT SELECT user_id FROM events)
+    """,
+    "org_coverage_orders": f"""
+        SELECT 'unmapped' AS kind, item FROM (SELECT o_custkey AS item FROM orders WHERE o_custkey IS NOT NULL EXCEPT SELECT item FROM {_KNOWN})
+        UNION ALL SELECT 'unused', item FROM (SELECT item FROM {_KNOWN} EXCEPT SELECT o_custkey FROM orders)
+    """,
+    "org_rollup_orders": f"SELECT coalesce(major, '(미분류)') AS major, count(*) AS n FROM orders LEFT JOIN {_KNOWN} ON item = o_custkey GROUP BY 1",
     "org_field_detect": "".join(
         f"{'' if i == 0 else ' UNION ALL '}SELECT '{c}' AS field, count({c}) AS n, count(*) FILTER ({c}::VARCHAR IN (SELECT item::VARCHAR FROM {_TREE})) AS matched FROM customer"
         for i, c in enumerate(("c_nationkey", "c_mktsegment", "c_custkey"))
