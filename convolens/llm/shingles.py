@@ -10,7 +10,9 @@ d agree on all but d segments; so the segments are made d + 1 and more, and one
 grid. d comes from the size class of the larger text, so every text writes the cells of its own class and of the next.
 A segment without bits is no cell, for most texts share it; texts where these could hide a link deal their bits anew
 with another seed. In a cell every text first meets one leader; the Manhattan distance between bit counts of coarse
-segments, a lower bound of the distance, bars most pairs, and all others are verified on their whole sets. The counts
+segments, a lower bound of the distance, bars most pairs, counts of as fine segments as the sets need bar nearly all
+others that are no links, and what is left is verified on the whole sets. Cells are dealt by number once, packed, with
+their nodes; only those that may link are written and joined. The counts
 are kept modulo 4, where going round the shorter way can only make the bound less, so that many segments fit in few
 bytes; in Gray code the way round is the number of differing bits. Only
 cells whose texts these links have not connected go on. Those with the same largest component are put together, so a
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convolens.llm.common import HEAVY_SHARE, arrow_rows, attach, discard, materialise, within
+from convolens.llm.common import BROADCAST_BYTES, HEAVY_SHARE, arrow_rows, attach, discard, materialise, within
 from convolens.llm.components import components
 
 #: Words of a shingle; coarse segments of the bound (2^COARSE_BITS); seeds that a text tries before it uses empty segments as well.
@@ -43,6 +45,10 @@ WORDS, COARSE_BITS, SEEDS = 5, 8, 8
 BATCH = 1 << 19
 #: Pairs of whole sets that a task gets at once.
 SETS = 128
+#: Cells that a map task sorts at once; bits that a cell's number keeps on its way; groups that cells are dealt to, for each partition.
+CELLS, KEY_BITS, DEALT = 1 << 20, 46, 4
+#: Bytes of a pair in a broadcast table.
+PAIR_BYTES = 32
 #: Texts of a group above which it is dealt to several tasks, by pairs of blocks of about this many.
 BLOCK = 256
 
@@ -153,6 +159,22 @@ def _least_distance(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     return np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64)
 
 
+def _fine(own: np.ndarray) -> bytes:
+    """Bit counts modulo 4 of two to four segments a shingle, four counts to the byte: a sixteenth of the set or less."""
+    bits = max(3, (2 * len(own)).bit_length())
+    counts = np.bincount((own >> U(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint8) & 3
+    return (counts.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8).tobytes()
+
+
+def _fine_distance(one: bytes, two: bytes) -> int:
+    """Manhattan distance of fine counts modulo 4: no more than the distance of the sets. Finer counts are folded to the other's segments."""
+    x, y = ((np.frombuffer(c, np.uint8)[:, None] >> np.array([0, 2, 4, 6], np.uint8) & 3).ravel() for c in (one, two))
+    while len(x) != len(y):
+        x, y = ((c.reshape(-1, 2).sum(axis=1, dtype=np.uint8) & 3) if len(c) == max(len(x), len(y)) else c for c in (x, y))
+    around = x - y & 3
+    return int(np.minimum(around, 4 - around).sum(dtype=np.int64))
+
+
 def _sets(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """Slices of the batches with the sets of their texts: about BATCH bytes or one text each."""
     for batch in batches:
@@ -168,14 +190,91 @@ def _sets(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.R
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, text -> doc_id, node, size, coarse, cells."""
+    """doc_id, text -> doc_id, node, size, coarse, fine."""
     for batch, sets in _sets(batches, 1):
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([_node(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int32()), pa.array([_coarse(x) for x in sets], pa.binary()), pa.array(cells(sets), pa.list_(pa.int64()))],
-            names=["doc_id", "node", "size", "coarse", "cells"],
+            [batch.column(0), pa.array([_node(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int32()), pa.array([_coarse(x) for x in sets], pa.binary()), pa.array([_fine(x) for x in sets], pa.binary())],
+            names=["doc_id", "node", "size", "coarse", "fine"],
         )
 
 
+def _runs(cell: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Cells (number, own, sure from the high bits on) and nodes, sorted and once each; first row of each number; whether it is wanted.
+
+    A number is wanted if several nodes have it, one of them in its own class, or if any row says that it is sure.
+    """
+    order = np.lexsort((~cell & U(3), node, cell >> U(2)))
+    cell, node = cell[order], node[order]
+    number = cell >> U(2)
+    new = np.append(True, (number[1:] != number[:-1]) | (node[1:] != node[:-1])) if len(cell) else np.empty(0, bool)
+    cell, node, number = cell[new], node[new], number[new]
+    first = np.flatnonzero(np.append(True, number[1:] != number[:-1])) if len(cell) else np.empty(0, np.int64)
+    if not len(cell):
+        return cell, node, first, new
+    any_ = np.bitwise_or.reduceat(cell, first)
+    several = np.diff(first, append=len(cell)) > 1
+    return cell, node, first, several & (any_ & U(2) > 0) | (any_ & U(1) > 0)
+
+
+def _dealt_cells(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.RecordBatch]:
+    """text -> group, cells, nodes: the cells of many texts, dealt by number, in about twelve bytes a cell.
+
+    A number that the texts of one task prove wanted sends one row to its group, so a hot one gathers one row a task
+    there; its other rows are sure, and dealt anywhere.
+    """
+
+    def flush(cell: list[np.ndarray], node: list[np.ndarray]) -> pa.RecordBatch:
+        cells_, nodes, first, wanted = _runs(np.concatenate(cell), np.concatenate(node))
+        sizes = np.diff(first, append=len(cells_))
+        cells_ = cells_ | np.repeat(wanted, sizes).astype(U)
+        spread = np.repeat(wanted, sizes)
+        spread[first] = False
+        salt = _mix(nodes.view(U) + cells_)
+        group = (np.where(spread, salt, _mix(cells_ >> U(2))) % U(groups)).astype(np.int64)
+        order = np.argsort(group, kind="stable")
+        cells_, nodes, group = cells_[order], nodes[order], group[order]
+        cuts = np.flatnonzero(np.diff(group, prepend=-1))
+        ends = [*cuts[1:].tolist(), len(group)]
+        # sorted numbers byte by byte: the high bytes repeat, so they compress
+        planes = np.ascontiguousarray(cells_.view(np.uint8).reshape(-1, 8)[:, : (KEY_BITS + 2) // 8])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(group[cuts].astype(np.int32)), pa.array([planes[a:b].T.tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary()), pa.array([nodes[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary())],
+            names=["group", "cells", "nodes"],
+        )
+
+    cell: list[np.ndarray] = []
+    node: list[np.ndarray] = []
+    held = 0
+    for _, sets in _sets(batches, 0):
+        for own, of in zip(cells(sets), sets, strict=True):
+            own = own.view(U)
+            cell.append(own >> U(64 - KEY_BITS) << U(2) | (own & U(1)) << U(1))
+            node.append(np.full(len(own), _node(of), np.int64))
+            held += len(own)
+        if held >= CELLS:
+            yield flush(cell, node)
+            cell, node, held = [], [], 0
+    if held:
+        yield flush(cell, node)
+
+
+def _wanted_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """group, cells, nodes of all rows of a partition -> key, node, own of the cells that are wanted."""
+    width, cell, node = (KEY_BITS + 2) // 8, [np.empty(0, U)], [np.empty(0, np.int64)]
+    for batch in batches:
+        for x, y in zip(batch.column(1), batch.column(2), strict=True):
+            nodes = np.frombuffer(y.as_py(), np.int64)
+            whole = np.zeros((len(nodes), 8), np.uint8)
+            whole[:, :width] = np.frombuffer(x.as_py(), np.uint8).reshape(width, -1).T
+            cell.append(whole.view(U).ravel())
+            node.append(nodes)
+    cells_, nodes, first, wanted = _runs(np.concatenate(cell), np.concatenate(node))
+    kept = np.flatnonzero(np.repeat(wanted, np.diff(first, append=len(cells_))))
+    for at in range(0, len(kept), 1 << 16):
+        part = kept[at : at + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array((cells_[part] >> U(2)).view(np.int64)), pa.array(nodes[part]), pa.array(cells_[part] & U(2) > 0)], names=["key", "node", "own"])
+
+
 def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """a, b, sizes, coarse_a, coarse_b -> the pairs a, b whose coarse counts do not bar them."""
     for batch in batches:
@@ -189,8 +288,7 @@ def _pairs(one: DataFrame) -> DataFrame:
     x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
     fits = (x("node") != y("node")) & (x("own") | y("own")) & (5 * F.least(x("size"), y("size")) >= 4 * F.greatest(x("size"), y("size")))
     rows = one.where(fits).select(F.least(x("node"), y("node")).alias("a"), F.greatest(x("node"), y("node")).alias("b"), (x("size") + y("size")).alias("sizes"), x("coarse").alias("coarse_a"), y("coarse").alias("coarse_b"))
-    rows = rows.groupBy("a", "b").agg(*[F.first(c).alias(c) for c in ("sizes", "coarse_a", "coarse_b")])
-    return rows.mapInArrow(_bounded, "a long, b long")
+    return rows.mapInArrow(_bounded, "a long, b long").distinct()
 
 
 def _group_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,26 +341,41 @@ def _among(apart: DataFrame) -> DataFrame:
     return rows.repartition(parts, "group").sortWithinPartitions("group").mapInArrow(_group_pairs, "a long, b long").distinct()
 
 
-def _with_sets(pairs: DataFrame, own: DataFrame, side: str, other: str, total: int) -> DataFrame:
-    """pairs with the set of the node of one side. The set of a node with many pairs is dealt to as many tasks as they need.
+def _with_sets(pairs: DataFrame, own: DataFrame, side: str, other: str, total: int, few: bool = False) -> DataFrame:
+    """pairs with the bits (its set or its counts) of the node of one side. Those of a node with many pairs are dealt to as many tasks as they need.
 
-    Sets may be long, so none is broadcast: only the numbers of tasks of the HEAVY_SHARE nodes at most with so many pairs.
+    Sets may be long, so none is broadcast: only the numbers of tasks of the HEAVY_SHARE nodes at most with so many pairs,
+    and with `few` all pairs of other nodes, which then meet the sets where these are, without a shuffle.
     """
     limit = max(1000, total // HEAVY_SHARE)
     heavy = pairs.groupBy(side).count().where(F.col("count") > limit).select(side, F.ceil(F.col("count") / limit).cast("int").alias("parts"))
     heavy, parts = F.broadcast(materialise(heavy, "near-heavy")), F.coalesce("parts", F.lit(1))
-    dealt = pairs.join(heavy, side, "left").withColumn("part", F.pmod(F.xxhash64(other), parts).cast("int")).drop("parts")
-    sets = own.select(F.col("node").alias(side), F.col("bits").alias(f"bits_{side}")).join(heavy, side, "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
-    return dealt.join(sets, [side, "part"]).drop("part")
+    sets = own.select(F.col("node").alias(side), F.col("bits").alias(f"bits_{side}"))
+    how = "inner" if few else "left"
+    dealt = pairs.join(heavy, side, how).withColumn("part", F.pmod(F.xxhash64(other), parts).cast("int")).drop("parts")
+    out = dealt.join(sets.join(heavy, side, how).withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts"), [side, "part"]).drop("part")
+    return out.unionByName(sets.join(F.broadcast(pairs.join(heavy, side, "left_anti")), side)) if few else out
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs a, b of nodes whose sets are similar enough."""
+def _with_both(pairs: DataFrame, own: DataFrame, total: int) -> DataFrame:
+    """a, b, bits_a, bits_b: pairs with the bits of both nodes."""
+    one = _with_sets(pairs, own, "b", "a", total, total * PAIR_BYTES <= BROADCAST_BYTES)
+    return _with_sets(one, within(own, pairs.select(F.col("a").alias("node")).distinct(), "node"), "a", "b", total).select("a", "b", "bits_a", "bits_b")
+
+
+def _nodes_of(pairs: DataFrame) -> DataFrame:
     # each side is reduced in the tasks that hold the pairs, before anything is a row a pair and side
     sides = pairs.select("a").distinct().unionByName(pairs.select(F.col("b").alias("a")).distinct())
-    needed = materialise(sides.select(F.col("a").alias("node")).distinct(), "near-needed")
-    ids = materialise(within(nodes, needed, "node").select(F.col("least").alias("doc_id")).distinct(), "near-texts")
-    texts = within(docs, ids, "doc_id")
+    return materialise(sides.select(F.col("a").alias("node")).distinct(), "near-needed")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs a, b of nodes whose sets are similar enough; pairs that the fine counts bar meet no sets."""
+
+    def fits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            right = [9 * _fine_distance(x["fine"], y["fine"]) <= x["size"] + y["size"] for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(right, pa.bool_()))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, own in _sets(batches, 0):
@@ -276,37 +389,42 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 right.append(9 * len(np.intersect1d(x, y, assume_unique=True)) >= 4 * (len(x) + len(y)))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(right, pa.bool_()))
 
-    # texts of one node have the same set, whichever of them comes first
-    own = texts.select("text").mapInArrow(sets, "node long, bits binary").groupBy("node").agg(F.first("bits").alias("bits"))
-    own = materialise(within(own, needed, "node"), "near-sets")
-    total = pairs.count()
-    with_sets = _with_sets(_with_sets(pairs, own, "a", "b", total), own, "b", "a", total)
+    needed = _nodes_of(pairs)
+    counts = within(nodes, needed, "node").select("node", F.struct("size", "fine").alias("bits"))
+    with arrow_rows(docs.sparkSession, SETS):
+        left = materialise(_with_both(pairs, counts, pairs.count()).mapInArrow(fits, "a long, b long"), "near-bounded")
+    discard(needed)
+    needed = _nodes_of(left)
+    ids = materialise(within(nodes, needed, "node").select(F.col("least").alias("doc_id")).distinct(), "near-texts")
+    # texts of one node have the same set, whichever of them stays; repeated rows of one doc_id are rare
+    own = materialise(within(docs, ids, "doc_id").select("text").mapInArrow(sets, "node long, bits binary").withColumn("number", F.monotonically_increasing_id()), "near-sets")
+    least = own.groupBy("node").agg(F.min("number").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").select("node", "least")
+    again = materialise(own.select("node", "number").join(least, "node").where("number != least").select("number"), "near-set-copies")
+    once = within(within(own, again, "number", "left_anti"), needed, "node").select("node", "bits")
     with arrow_rows(docs.sparkSession, SETS):
-        out = materialise(with_sets.select("a", "b", "bits_a", "bits_b").mapInArrow(similar, "a long, b long"), "near-links")
-    discard(needed, ids, own)
+        out = materialise(_with_both(left, once, left.count()).mapInArrow(similar, "a long, b long"), "near-links")
+    discard(needed, ids, own, again, left)
     return out
 
 
-def _links(docs: DataFrame, read: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, root for every node that similar pairs link. Removes `read`, whose lists of cells are large, once they are used."""
-    # of texts with one set only those of the smallest doc_id write cells; the lists of all others stay where they are
-    again = materialise(nodes.where("n > 1"), "near-again")
-    copies = materialise(attach(read.select("doc_id", "node"), again, "node", read.count(), "n").where("doc_id != least").select(F.xxhash64("doc_id", "node").alias("row")).distinct(), "near-copies")
-    once = within(read.withColumn("row", F.xxhash64("doc_id", "node")), copies, "row", "left_anti")
-    cell = once.select("node", "size", "coarse", F.explode("cells").alias("cell"))
-    keys = cell.withColumns({"key": F.shiftright("cell", 1), "own": F.col("cell").bitwiseAND(F.lit(1)) == 1}).drop("cell")
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("any")).where("n > 1 and any").select("key", "n")
-    shared = materialise(shared, "near-keys")
-    rows = materialise(within(keys, shared.select("key"), "key").select("key", F.struct("node", "size", "coarse", "own").alias("x")), "near-rows")
-    discard(again, copies, read)
+def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, root for every node that similar pairs link."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # one shuffle deals the cells by number, with their nodes; a task keeps those that may link, so no cell is joined or written before
+    dealt = docs.select("text").mapInArrow(lambda x: _dealt_cells(x, DEALT * parts), "group int, cells binary, nodes binary").repartition(parts, "group")
+    found = materialise(dealt.mapInArrow(_wanted_cells, "key long, node long, own boolean"), "near-found")
+    rows = found.join(nodes.select("node", "size", "coarse"), "node").select("key", F.struct("node", "size", "coarse", "own").alias("x"))
+    rows = materialise(rows, "near-rows")
+    discard(found)
     total = rows.count()
     leaders = rows.groupBy("key").agg(F.min_by("x", F.struct(~F.col("x.own"), F.col("x.node"))).alias("y"), F.count(F.lit(1)).alias("n"))
     tried = materialise(_pairs(attach(rows, leaders, "key", total, "n")), "near-pairs")
     found = _verified(tried, docs, nodes)
     linked = components(found)
     # cells that these links leave in several components: all rows outside the most common one, with all of the cell
-    in_cells = materialise(rows.join(shared.where("n > 2"), "key", "left_semi").withColumn("node", F.col("x.node")), "near-cells")
-    discard(rows, shared)
+    many = rows.groupBy("key").count().where("count > 2").select("key")
+    in_cells = materialise(rows.join(many, "key", "left_semi").withColumn("node", F.col("x.node")), "near-cells")
+    discard(rows)
     roots = attach(in_cells, linked.join(in_cells.groupBy("node").agg(F.count(F.lit(1)).alias("uses")), "node"), "node", total, "uses").drop("uses", "node").unionByName(
         in_cells.join(linked, "node", "left_anti").select("key", "x", F.col("node").alias("root"))
     )
@@ -329,10 +447,12 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     """doc_id, node, component_id (the smallest doc_id that links reach) for every row."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    read = materialise(docs.mapInArrow(_read, f"doc_id {kind}, node long, size int, coarse binary, cells array<long>"), "near-cells-of-documents")
-    nodes = materialise(read.groupBy("node").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "near-nodes")
+    read = materialise(docs.mapInArrow(_read, f"doc_id {kind}, node long, size int, coarse binary, fine binary"), "near-documents")
+    counts = [F.first(c).alias(c) for c in ("size", "coarse", "fine")]
+    nodes = materialise(read.groupBy("node").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"), *counts), "near-nodes")
     ids = materialise(read.select("doc_id", "node"), "near-nodes-of-documents")
-    roots = nodes.join(_links(docs, read, nodes), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    discard(read)
+    roots = nodes.drop("size", "coarse", "fine").join(_links(docs, nodes), "node", "left").withColumn("root", F.coalesce("root", "node"))
     roots = materialise(roots, "near-roots-of-nodes")
     of_root = roots.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("members"))
     per_node = materialise(attach(roots, of_root, "root", roots.count(), "members").select("node", "component_id", "n"), "near-components")

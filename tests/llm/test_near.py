@@ -90,3 +90,39 @@ def test_shingles_of_a_batch_are_those_of_each_text():
     assert [len(x) for x in whole] == [3, 0, 0, 1, 1, 4, 1]
     assert all((x == shingles.shingles([t])[0]).all() for x, t in zip(whole, texts, strict=True))
     assert len(np.intersect1d(whole[0], whole[5])) == 3
+
+
+def test_cells_of_several_tasks_are_wanted_as_by_brute_force(monkeypatch):
+    """However the texts are dealt to tasks, a cell stays if several sets share it and one has it for its own class."""
+    import pyarrow as pa
+    import pyarrow.compute
+
+    rng = random.Random(2)
+    base = [[f"w{i}_{j}" for j in range(rng.choice((8, 30, 90)))] for i in range(12)]
+    texts = [" ".join(edited(rng, b, rng.randrange(3))) for b in base for _ in range(4)] + [" ".join(base[0])] * 3
+    sets = {shingles._node(s): s for s in shingles.shingles(texts)}
+    plain = {}
+    for node, of in sets.items():
+        for c in shingles.cells([of])[0].tolist():
+            plain.setdefault((c >> 1) & (1 << 63) - 1, set()).add((node, bool(c & 1)))
+    short = lambda key: key >> 63 - shingles.KEY_BITS
+    wanted = {(short(key), *x) for key, rows in plain.items() if len(rows) > 1 and any(own for _, own in rows) for x in rows}
+    for cells, tasks in ((1 << 20, 1), (1 << 20, 3), (50, 4)):
+        monkeypatch.setattr(shingles, "CELLS", cells)
+        monkeypatch.setattr(shingles, "BATCH", 100)
+        dealt = [b for i in range(tasks) for b in shingles._dealt_cells(iter([pa.record_batch([pa.array(texts[i::tasks])], names=["text"])]), 8)]
+        rows = pa.Table.from_batches(dealt)
+        got = set()
+        for group in range(8):
+            part = rows.filter(pa.compute.equal(rows["group"], group))
+            got |= {(r["key"], r["node"], r["own"]) for b in shingles._wanted_cells(iter(part.to_batches())) for r in b.to_pylist()}
+        assert got == wanted
+
+
+def test_fine_counts_never_exceed_the_distance():
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 5, 63, 64, 100, 5000):
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64) << np.uint64(1))
+        b = np.unique(np.concatenate([a[: rng.integers(0, n + 1)], rng.integers(0, 2**63, rng.integers(0, n + 1)).astype(np.uint64)]))
+        assert shingles._fine_distance(shingles._fine(a), shingles._fine(b)) <= len(np.setxor1d(a, b))
+        assert shingles._fine_distance(shingles._fine(a), shingles._fine(a)) == 0
