@@ -5,7 +5,9 @@ near copies if the Jaccard similarity of their sets is 4/5 or more, that is if t
 ninth of the bits that both hold together. A SimHash of 64 bits cannot tell that: at this similarity it differs in 10
 bits on average and in 16 not rarely, where a bound on segment counts bars hardly any pair.
 
-The scheme stays. Bits are dealt into segments, and as a difference changes one segment only, fingerprints at distance
+So the SimHash of a set (`_print`) proposes the pairs that it can tell: fingerprints within 3 bits by the segment counts
+and grid of `simhash.near_links`. They are verified on the whole sets like all others, and so is what it misses, which
+the same scheme finds over the wide fingerprint. There bits are dealt into segments, and as a difference changes one segment only, fingerprints at distance
 d agree on all but d segments; so the segments are made d + 1 and more, and one that two texts share is a cell of the
 grid. d comes from the size class of the larger text, so every text writes the cells of its own class and of the next.
 A segment without bits is no cell, for most texts share it; texts where these could hide a link deal their bits anew
@@ -175,6 +177,14 @@ def _fine_distance(one: bytes, two: bytes) -> int:
     return int(np.minimum(around, 4 - around).sum(dtype=np.int64))
 
 
+def _print(own: np.ndarray) -> int:
+    """The SimHash of a set: 64 bits, set where over half of its shingles have them; no shingle gives zero."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(own), 65_536):
+        ones += np.unpackbits(own[at : at + 65_536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(own), bitorder="little").view("<i8")[0])
+
+
 def _sets(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """Slices of the batches with the sets of their texts: about BATCH bytes or one text each."""
     for batch in batches:
@@ -190,11 +200,11 @@ def _sets(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.R
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, text -> doc_id, node, size, coarse, fine."""
+    """doc_id, text -> doc_id, node, size, coarse, fine, fp."""
     for batch, sets in _sets(batches, 1):
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([_node(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int32()), pa.array([_coarse(x) for x in sets], pa.binary()), pa.array([_fine(x) for x in sets], pa.binary())],
-            names=["doc_id", "node", "size", "coarse", "fine"],
+            [batch.column(0), pa.array([_node(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int32()), pa.array([_coarse(x) for x in sets], pa.binary()), pa.array([_fine(x) for x in sets], pa.binary()), pa.array([_print(x) for x in sets], pa.int64())],
+            names=["doc_id", "node", "size", "coarse", "fine", "fp"],
         )
 
 
@@ -407,6 +417,22 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return out
 
 
+def _print_pairs(nodes: DataFrame) -> DataFrame:
+    """Distinct pairs a < b by the fingerprints: each node with one of equal fingerprint, and these along the links of `simhash.near_links`."""
+    from convolens.llm import simhash
+
+    own = materialise(nodes.where("size > 0").select("node", "fp"), "near-prints")
+    points = materialise(own.groupBy("fp").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")), "near-points")
+    equal = attach(own, points, "fp", own.count(), "n").select("node", "first")
+    # near_links gives each point of a cell one link to the least of its tree, so a point has as many rows as cells at most but for that least one
+    near = materialise(simhash.near_links(points.select("fp")).distinct(), "near-print-links")
+    degrees = near.groupBy(F.col("b").alias("fp")).agg(F.count(F.lit(1)).alias("uses"))
+    firsts = points.select("fp", "first")
+    hubs = materialise(degrees.join(firsts, "fp").select(F.col("fp").alias("b"), F.col("first").alias("other"), "uses"), "near-print-hubs")
+    linked = attach(near, hubs, "b", near.count(), "uses").join(firsts.select(F.col("fp").alias("a"), "first"), "a").select(F.col("first").alias("node"), F.col("other").alias("first"))
+    return equal.unionByName(linked).where("node != first").select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")).distinct()
+
+
 def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """node, root for every node that similar pairs link."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -418,7 +444,8 @@ def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     discard(found)
     total = rows.count()
     leaders = rows.groupBy("key").agg(F.min_by("x", F.struct(~F.col("x.own"), F.col("x.node"))).alias("y"), F.count(F.lit(1)).alias("n"))
-    tried = materialise(_pairs(attach(rows, leaders, "key", total, "n")), "near-pairs")
+    # SimHash proposes what its 64 bits can tell, the cells of the sets whatever else is similar; both are verified exactly
+    tried = materialise(_print_pairs(nodes).unionByName(_pairs(attach(rows, leaders, "key", total, "n"))).distinct(), "near-pairs")
     found = _verified(tried, docs, nodes)
     linked = components(found)
     # cells that these links leave in several components: all rows outside the most common one, with all of the cell
@@ -447,12 +474,12 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     """doc_id, node, component_id (the smallest doc_id that links reach) for every row."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    read = materialise(docs.mapInArrow(_read, f"doc_id {kind}, node long, size int, coarse binary, fine binary"), "near-documents")
-    counts = [F.first(c).alias(c) for c in ("size", "coarse", "fine")]
+    read = materialise(docs.mapInArrow(_read, f"doc_id {kind}, node long, size int, coarse binary, fine binary, fp long"), "near-documents")
+    counts = [F.first(c).alias(c) for c in ("size", "coarse", "fine", "fp")]
     nodes = materialise(read.groupBy("node").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"), *counts), "near-nodes")
     ids = materialise(read.select("doc_id", "node"), "near-nodes-of-documents")
     discard(read)
-    roots = nodes.drop("size", "coarse", "fine").join(_links(docs, nodes), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    roots = nodes.drop("size", "coarse", "fine", "fp").join(_links(docs, nodes), "node", "left").withColumn("root", F.coalesce("root", "node"))
     roots = materialise(roots, "near-roots-of-nodes")
     of_root = roots.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("members"))
     per_node = materialise(attach(roots, of_root, "root", roots.count(), "members").select("node", "component_id", "n"), "near-components")

@@ -126,3 +126,19 @@ def test_fine_counts_never_exceed_the_distance():
         b = np.unique(np.concatenate([a[: rng.integers(0, n + 1)], rng.integers(0, 2**63, rng.integers(0, n + 1)).astype(np.uint64)]))
         assert shingles._fine_distance(shingles._fine(a), shingles._fine(b)) <= len(np.setxor1d(a, b))
         assert shingles._fine_distance(shingles._fine(a), shingles._fine(a)) == 0
+
+
+def test_simhash_proposes_the_pairs_of_close_fingerprints(spark):
+    """Nodes of equal fingerprint and of fingerprints within 3 bits; sets without shingles take no part."""
+    far = 0x0F0F0F0F0F0F0F0F
+    rows = [(1, 9, 0), (2, 9, 7), (5, 9, far), (9, 9, far), (4, 0, far), (8, 9, -1)]
+    got = shingles._print_pairs(spark.createDataFrame(rows, "node long, size int, fp long"))
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 2), (5, 9)]
+
+
+def test_fingerprint_of_a_set_is_the_majority_of_its_shingles():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 7, 300):
+        own = np.unique(rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2) + rng.integers(0, 2, n).astype(np.uint64))
+        plain = sum(1 << i for i in range(64) if 2 * sum(int(x) >> i & 1 for x in own) > len(own))
+        assert shingles._print(own) % 2**64 == plain
