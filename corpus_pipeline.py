@@ -7,8 +7,9 @@ lost executor costs running tasks only.
 
 Null and empty texts are never toxic; of all empty texts one row stays, which has no words, so the mix leaves it out
 unless all of its source is taken. Repeated rows are copies of each other: one stays. Very long texts are handled
-whole. Further columns of any name pass through every stage but the last. An empty `documents` passes through every
-stage as an empty table.
+whole. A stage's rows go to Python in Arrow batches of a few MB, a setting that stays with the session. Further
+columns of any name pass through every stage but the last. An empty `documents` passes through every stage as an empty
+table.
 """
 
 from __future__ import annotations
@@ -21,9 +22,19 @@ from convolens.llm import bpe, exact_dedup, mixing, simhash, toxicity
 from convolens.llm.common import materialise, table
 from convolens.llm.langid import held_out
 
+#: Bytes (about) of an Arrow batch between an executor and its Python workers, or one row. By default up to 10,000 rows
+#: meet in one, once in memory outside of the executor's heap and once in the worker's.
+BATCH_BYTES = "4m"
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """For the plans of a stage, of which some run after it has returned; results don't depend on it."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score stays below 0.5, by a lexicon learned from the labelled ones that are not held out."""
+    _small_batches(spark)
     sample = toxicity.labelled_sample(docs, table(spark, sf_dir, "labels"), hold_out=lambda doc_id: held_out(doc_id, 5, 0))
     rows = docs.select(F.struct("*").alias("doc"), "text")
     return toxicity.score(rows, toxicity.fit(sample)).where("predicted = 0").select("doc.*")
@@ -36,16 +47,19 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that pairs with a five-word-shingle similarity of 0.8 or more link."""
+    _small_batches(spark)
     return simhash.keep_first(docs, similar=True)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the target weights of their sources take them."""
+    _small_batches(spark)
     return mixing.apply_mix(docs)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and the digests of the ids and of the decoded text."""
+    _small_batches(spark)
     return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
