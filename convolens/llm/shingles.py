@@ -47,8 +47,8 @@ WORDS, COARSE_BITS, SEEDS = 5, 8, 8
 BATCH = 1 << 19
 #: Pairs of whole sets that a task gets at once.
 SETS = 128
-#: Cells that a map task sorts at once; bits that a cell's number keeps on its way; groups that cells are dealt to, for each partition.
-CELLS, KEY_BITS, DEALT = 1 << 20, 46, 4
+#: Cells that a task sorts at once, in about 120 bytes each; bits that a cell's number keeps on its way; groups that cells are dealt to, for each partition.
+CELLS, KEY_BITS, DEALT = 1 << 18, 46, 4
 #: Bytes of a pair in a broadcast table.
 PAIR_BYTES = 32
 #: Texts of a group above which it is dealt to several tasks, by pairs of blocks of about this many.
@@ -269,8 +269,11 @@ def _dealt_cells(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.
 
 
 def _wanted_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """group, cells, nodes of all rows of a partition -> key, node, own of the cells that are wanted."""
-    width, cell, node = (KEY_BITS + 2) // 8, [np.empty(0, U)], [np.empty(0, np.int64)]
+    """group, cells, nodes of all rows of a partition -> key, node, own of the cells that are wanted.
+
+    The rows wait in 16 bytes a cell; as each is sorted by number, ranges of numbers of about CELLS cells are taken from all of them.
+    """
+    width, cell, node = (KEY_BITS + 2) // 8, [], []
     for batch in batches:
         for x, y in zip(batch.column(1), batch.column(2), strict=True):
             nodes = np.frombuffer(y.as_py(), np.int64)
@@ -278,11 +281,17 @@ def _wanted_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             whole[:, :width] = np.frombuffer(x.as_py(), np.uint8).reshape(width, -1).T
             cell.append(whole.view(U).ravel())
             node.append(nodes)
-    cells_, nodes, first, wanted = _runs(np.concatenate(cell), np.concatenate(node))
-    kept = np.flatnonzero(np.repeat(wanted, np.diff(first, append=len(cells_))))
-    for at in range(0, len(kept), 1 << 16):
-        part = kept[at : at + (1 << 16)]
-        yield pa.RecordBatch.from_arrays([pa.array((cells_[part] >> U(2)).view(np.int64)), pa.array(nodes[part]), pa.array(cells_[part] & U(2) > 0)], names=["key", "node", "own"])
+    parts = max(1, -(-sum(map(len, cell)) // CELLS))
+    edges = np.array([(i << KEY_BITS) // parts for i in range(1, parts)], U)
+    cuts = [[0, *np.searchsorted(x >> U(2), edges).tolist(), len(x)] for x in cell]
+    for part in range(parts if cell else 0):
+        some = [slice(c[part], c[part + 1]) for c in cuts]
+        cells_, nodes, first, wanted = _runs(*(np.concatenate([x[s] for x, s in zip(of, some, strict=True)]) for of in (cell, node)))
+        kept = np.repeat(wanted, np.diff(first, append=len(cells_)))
+        cells_, nodes = cells_[kept], nodes[kept]
+        for at in range(0, len(cells_), 1 << 16):
+            key = cells_[at : at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array((key >> U(2)).view(np.int64)), pa.array(nodes[at : at + (1 << 16)]), pa.array(key & U(2) > 0)], names=["key", "node", "own"])
 
 
 def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -142,3 +142,31 @@ def test_fingerprint_of_a_set_is_the_majority_of_its_shingles():
         own = np.unique(rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2) + rng.integers(0, 2, n).astype(np.uint64))
         plain = sum(1 << i for i in range(64) if 2 * sum(int(x) >> i & 1 for x in own) > len(own))
         assert shingles._print(own) % 2**64 == plain
+
+
+def test_wanted_cells_are_found_in_little_memory(monkeypatch):
+    """A task holds the cells of its groups in 16 bytes each, and what it needs to sort them for a range of numbers only."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(shingles, "CELLS", 1 << 14)
+    rng, n, width = np.random.default_rng(5), 20_000, (shingles.KEY_BITS + 2) // 8
+    rows, plain = [], set()
+    for node in range(25):
+        number = np.sort(rng.integers(0, 1 << shingles.KEY_BITS, n).astype(np.uint64))
+        number[:: n // 4] = [i << shingles.KEY_BITS - 2 for i in range(4)]  # four cells that all rows have
+        number.sort()
+        rows.append((np.ascontiguousarray((number << np.uint64(2) | np.uint64(2)).view(np.uint8).reshape(-1, 8)[:, :width]).T.tobytes(), np.full(n, node).tobytes()))
+        plain |= {(x, node) for x in number.tolist()}
+    uses = {}
+    for x, node in plain:
+        uses.setdefault(x, []).append(node)
+    batches = [pa.record_batch([pa.array([0], pa.int32()), pa.array([x]), pa.array([y])], names=["group", "cells", "nodes"]) for x, y in rows]
+    tracemalloc.start()
+    got = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in shingles._wanted_cells(iter(batches))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    found = [x for key, node in got for x in zip(key.tolist(), node.tolist(), strict=True)]
+    assert len(found) == len(set(found)) and set(found) == {(x, node) for x, nodes in uses.items() if len(nodes) > 1 for node in nodes}
+    assert len(found) >= 25 and peak < 40 * 25 * n, peak
